@@ -153,7 +153,131 @@ def recommender_sql() -> dict[str, str]:
     }
 
 
+
+
+# ---------------------------------------------------------------- weather (Job 2)
+
+def _weather_lines_sql() -> str:
+    def lp(x: str, n: int) -> str:
+        return f"lpad(CAST({x} AS VARCHAR), {n}, '0')"
+
+    return f"""
+lines AS (
+  SELECT concat('0000', '065900', '99999',
+    {lp('year(l_shipdate)', 4)}, {lp('month(l_shipdate)', 2)}, {lp('day(l_shipdate)', 2)},
+    {lp('l_orderkey % 24', 2)}, '00', '4',
+    '+', {lp('l_partkey % 90000', 5)},
+    '+', {lp('l_suppkey % 180000', 6)},
+    'FM-12',
+    '+', {lp('l_suppkey % 9000', 4)},
+    'ABCDE', 'V020',
+    CASE WHEN l_orderkey % 11 = 0 THEN '999' ELSE {lp('l_orderkey % 361', 3)} END, '1N',
+    CASE WHEN l_partkey % 13 = 0 THEN '9999' ELSE {lp('l_partkey % 500', 4)} END, '1',
+    {lp('CAST(l_quantity AS BIGINT) * 100', 5)}, '199',
+    {lp('l_partkey * 7 % 160000', 6)}, '1N9',
+    CASE WHEN l_linenumber = 7 THEN '+9999'
+         ELSE concat(CASE WHEN month(l_shipdate) < 3 THEN '-' ELSE '+' END, {lp('l_partkey % 400', 4)}) END, '1',
+    CASE WHEN l_orderkey % 17 = 0 THEN '+9999' ELSE concat('+', {lp('l_partkey % 300', 4)}) END, '1') AS value
+  FROM lineitem
+)"""
+
+
+def _weather_parse_sql() -> str:
+    from quillon.sources import fixedwidth as FW
+
+    def tok(f) -> str:
+        return f"trim(substring(value, {f.start + 1}, {f.end - f.start}))"
+
+    cols = [
+        f"CASE WHEN regexp_full_match({tok(f)}, '[+-]?[0-9]+') THEN TRY_CAST({tok(f)} AS INTEGER) END AS {f.name}"
+        for f in FW.DATE_FIELDS
+    ]
+    for f in list(FW.OPTIONAL_FIELDS) + [FW.LABEL_FIELD]:
+        codes = ", ".join(f"'{m}'" for m in f.missing)
+        cols.append(
+            f"CASE WHEN {tok(f)} IN ({codes}) THEN NULL "
+            f"WHEN regexp_full_match({tok(f)}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') "
+            f"THEN TRY_CAST({tok(f)} AS DOUBLE) / {f.scale} END AS {f.name}"
+        )
+    body = ",\n    ".join(cols)
+    return f"""
+parsed_all AS (
+  SELECT length(value) AS len,
+    {body}
+  FROM lines
+),
+weather AS (
+  SELECT * EXCLUDE (len) FROM parsed_all
+  WHERE len >= {FW.MIN_LENGTH} AND year IS NOT NULL AND month IS NOT NULL AND day IS NOT NULL
+    AND hour IS NOT NULL AND air_temperature IS NOT NULL
+),
+wsplit AS (
+  SELECT *, CASE WHEN year BETWEEN {WEATHER_TRAIN_YEARS[0]} AND {WEATHER_TRAIN_YEARS[1]} THEN 'train'
+                 WHEN year = {WEATHER_VAL_YEAR} THEN 'validation'
+                 WHEN year = {WEATHER_TEST_YEAR} THEN 'test' END AS part
+  FROM weather
+)"""
+
+
+def weather_sql() -> dict[str, str]:
+    from quillon.sources import fixedwidth as FW
+
+    base = f"WITH {_weather_lines_sql()},{_weather_parse_sql()}"
+    nullable = FW.NULLABLE_FEATURES
+    med_cte = "meds AS (SELECT " + ", ".join(
+        f"quantile_disc({c}, 0.5) AS m_{c}" for c in nullable) + " FROM wsplit WHERE part = 'train')"
+    imputed_cte = ("imp AS (SELECT w.*, " + ", ".join(
+        f"COALESCE(w.{c}, m.m_{c}) AS {c}_imputed" for c in nullable) + " FROM wsplit w CROSS JOIN meds m)")
+    with_imp = f"{base},\n{med_cte},\n{imputed_cte}"
+    feats = [(c, c) for c in FW.BASE_FEATURES] + [(c, f"{c}_imputed") for c in nullable]
+
+    def r_expr(col: str) -> str:
+        y = FW.LABEL
+        return (f"CASE WHEN stddev_pop({col}) * stddev_pop({y}) = 0 THEN NULL "
+                f"ELSE covar_pop({col}, {y}) / (stddev_pop({col}) * stddev_pop({y})) END")
+
+    corr_union = " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, {i} AS pos, {r_expr(col)} AS r FROM imp" for i, (name, col) in enumerate(feats))
+    x, y = "dew_point_temperature_imputed", FW.LABEL
+    r6 = lambda c: f"round({c}, 6) AS {c}"
+    return {
+        "weather_counts": f"""WITH {_weather_lines_sql()},{_weather_parse_sql()}
+            SELECT count(*) AS raw_lines,
+                   count(*) FILTER (WHERE len >= {FW.MIN_LENGTH} AND year IS NOT NULL AND month IS NOT NULL
+                        AND day IS NOT NULL AND hour IS NOT NULL AND air_temperature IS NOT NULL) AS parsed_rows,
+                   count(*) FILTER (WHERE NOT (len >= {FW.MIN_LENGTH} AND year IS NOT NULL AND month IS NOT NULL
+                        AND day IS NOT NULL AND hour IS NOT NULL AND air_temperature IS NOT NULL)) AS dropped_rows
+            FROM parsed_all""",
+        "weather_parse": f"""{base}
+            SELECT {', '.join(FW.BASE_FEATURES)}, {', '.join(r6(c) for c in nullable + [FW.LABEL])}
+            FROM weather""",
+        "weather_year_bounds": f"{base} SELECT min(year) AS min_year, max(year) AS max_year FROM weather",
+        "weather_split_counts": f"{base} SELECT part, count(*) AS n FROM wsplit WHERE part IS NOT NULL GROUP BY part",
+        "weather_medians": f"""{with_imp}
+            """ .rstrip() + " " + " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, CAST(m_{c} AS DOUBLE) AS median FROM meds" for c in nullable),
+        "weather_imputed": f"""{with_imp}
+            SELECT {', '.join(FW.BASE_FEATURES)}, {r6(FW.LABEL)},
+                   {', '.join(r6(c + '_imputed') for c in nullable)}, part
+            FROM imp""",
+        "weather_correlation": f"""{with_imp}, corr AS ({corr_union})
+            SELECT feature, pos, round(r, 6) AS r FROM corr""",
+        "best_correlation": f"""{with_imp}, corr AS ({corr_union})
+            SELECT feature, round(r, 6) AS r FROM corr WHERE r IS NOT NULL AND NOT isnan(r)
+            ORDER BY abs(r) DESC, pos LIMIT 1""",
+        "weather_ols_mse": f"""{with_imp},
+            fit AS (SELECT regr_slope({y}, {x}) AS b, regr_intercept({y}, {x}) AS a FROM imp WHERE part = 'train')
+            SELECT part, count(*) AS n, round(avg(({y} - (a + b * {x})) * ({y} - (a + b * {x}))), 6) AS mse
+            FROM imp CROSS JOIN fit WHERE part IS NOT NULL GROUP BY part""",
+        "weather_ridge_coef": f"""{with_imp},
+            fit AS (SELECT covar_pop({x}, {y}) / (var_pop({x}) * (1 + 0.001 / stddev_pop({y}))) AS b,
+                           avg({x}) AS mx, avg({y}) AS my FROM imp WHERE part = 'train')
+            SELECT round(b, 6) AS coefficient, round(my - b * mx, 6) AS intercept FROM fit""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(recommender_sql())
+    out.update(weather_sql())
     return out

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quillon.plans import recommender as R
+from quillon.plans import weather as W
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,5 +27,18 @@ def queries() -> dict[str, Query]:
         "popularity_mean_auc": R.q_popularity_mean_auc,
         "popularity_at_50": R.q_popularity_at_50,
         "name_search": R.q_name_search,
+        "weather_counts": W.q_weather_counts,
+        "weather_parse": W.q_weather_parse,
+        "weather_year_bounds": W.q_weather_year_bounds,
+        "weather_split_counts": W.q_weather_split_counts,
+        "weather_medians": W.q_weather_medians,
+        "weather_imputed": W.q_weather_imputed,
+        "weather_correlation": W.q_weather_correlation,
+        "best_correlation": W.q_best_correlation,
+        "weather_ols_mse": W.q_weather_ols_mse,
+        "weather_ridge_coef": W.q_weather_ridge_coef,
+        "weather_lr_full": W.q_weather_lr_full,
+        "weather_rf": W.q_weather_rf,
+        "best_regressor": W.q_best_regressor,
     }
     return q
