@@ -276,8 +276,117 @@ def weather_sql() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- survey (Job 1)
+
+SURVEY_CTES = f"""
+survey AS (
+  SELECT l.l_orderkey AS row_a, CAST(l.l_linenumber AS BIGINT) AS row_b,
+         l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax,
+         l.l_returnflag, l.l_linestatus, o.o_orderstatus, c.c_mktsegment,
+         CASE WHEN l.l_linenumber = 7 THEN NULL
+              WHEN ((l.l_orderkey % 13) + 13) % 13 = 0 THEN 'Maybe'
+              WHEN l.l_quantity * l.l_discount > CASE WHEN l.l_returnflag = 'R' THEN 1.0 ELSE 1.6 END THEN 'Yes'
+              ELSE 'No' END AS label_yn,
+         CAST(CAST(floor((l.l_quantity - 1) / 10) AS INTEGER) AS VARCHAR) AS band
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+),
+clean AS (SELECT * FROM survey WHERE label_yn IN ('Yes', 'No')),
+sp AS (SELECT *, ({ROW_HASH}) * 5 < 4 * 4294967296 AS is_train FROM clean),
+strain AS (SELECT * FROM sp WHERE is_train),
+stest AS (SELECT * FROM sp WHERE NOT is_train),
+levels AS (
+  SELECT "column", level, CAST(row_number() OVER (PARTITION BY "column" ORDER BY n DESC, level) - 1 AS BIGINT) AS idx, n
+  FROM (SELECT "column", level, count(*) AS n FROM (
+          SELECT 'l_returnflag' AS "column", l_returnflag AS level FROM strain
+          UNION ALL SELECT 'l_linestatus', l_linestatus FROM strain
+          UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM strain
+          UNION ALL SELECT 'c_mktsegment', c_mktsegment FROM strain
+          UNION ALL SELECT 'label_yn', label_yn FROM strain
+          UNION ALL SELECT 'band', band FROM strain) u
+        WHERE level IS NOT NULL GROUP BY "column", level) g
+),
+rule AS (
+  SELECT CASE WHEN label_yn = 'Yes' THEN 1.0 ELSE 0.0 END AS label,
+         CASE WHEN l_quantity * l_discount > 1.3 THEN 1.0 ELSE 0.0 END AS prediction,
+         l_quantity * l_discount AS score,
+         CAST(band AS DOUBLE) AS band,
+         CAST(least(greatest(floor((l_extendedprice / 1450.0 - 1) / 10), 0), 4) AS DOUBLE) AS band_prediction
+  FROM stest
+)
+"""
+
+
+def _curve_sql(score: str, label: str) -> str:
+    """CTEs g, t, c, areas for exact ROC / PR areas of (score, label) in ``rule``."""
+    return f"""
+, g AS (SELECT {score} AS score, sum(CASE WHEN {label} > 0.5 THEN 1 ELSE 0 END) AS pos,
+               sum(CASE WHEN {label} > 0.5 THEN 0 ELSE 1 END) AS neg FROM rule GROUP BY {score})
+, t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM g)
+, c AS (SELECT g.*, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+               sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp FROM g)
+, areas AS (
+  SELECT sum(pos * ((t.N - fp) + 0.5 * neg)) / (t.P * t.N) AS auc,
+         sum(pos / t.P * (tp / (tp + fp)
+             + CASE WHEN tp - pos + fp - neg = 0 THEN tp / (tp + fp)
+                    ELSE (tp - pos) / (tp - pos + fp - neg) END) / 2) AS aupr,
+         CAST(t.P AS BIGINT) AS n_pos, CAST(t.N AS BIGINT) AS n_neg
+  FROM c CROSS JOIN t GROUP BY t.P, t.N)"""
+
+
+def _multiclass_sql(pred: str, label: str) -> str:
+    return f"""
+, cells AS (SELECT {label} AS y, {pred} AS p, count(*) AS c FROM rule GROUP BY 1, 2)
+, act AS (SELECT y, sum(c) AS n_actual, sum(CASE WHEN y = p THEN c ELSE 0 END) AS tp FROM cells GROUP BY y)
+, prd AS (SELECT p AS y, sum(c) AS n_predicted FROM cells GROUP BY p)
+, per AS (SELECT a.y AS label, a.tp, a.n_actual, COALESCE(pr.n_predicted, 0) AS n_predicted,
+                 CASE WHEN COALESCE(pr.n_predicted, 0) = 0 THEN 0.0 ELSE a.tp / pr.n_predicted END AS precision,
+                 CASE WHEN a.n_actual = 0 THEN 0.0 ELSE a.tp / a.n_actual END AS recall
+          FROM act a LEFT JOIN prd pr ON a.y = pr.y)
+, overall AS (SELECT sum(tp) / sum(n_actual) AS accuracy,
+                     sum(precision * n_actual) / sum(n_actual) AS weighted_precision,
+                     sum(recall * n_actual) / sum(n_actual) AS weighted_recall FROM per)"""
+
+
+def survey_sql() -> dict[str, str]:
+    base = f"WITH {SURVEY_CTES}"
+    cats = ["l_returnflag", "l_linestatus", "o_orderstatus", "c_mktsegment"]
+    joins = " ".join(
+        f"JOIN levels v{i} ON v{i}.\"column\" = '{c}' AND v{i}.level = s.{c}" for i, c in enumerate(cats))
+    fcols = ", ".join(f"CAST(v{i}.idx AS DOUBLE) AS f{4 + i}" for i in range(len(cats)))
+    return {
+        "survey_filtered": f"""{base}
+            SELECT row_a, row_b, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+                   o_orderstatus, c_mktsegment, label_yn, band FROM clean""",
+        "hash_split_counts": f"""{base}
+            SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS part, count(*) AS n,
+                   count(*) FILTER (WHERE label_yn = 'Yes') AS n_yes
+            FROM sp GROUP BY 1""",
+        "string_index_levels": f"{base} SELECT \"column\", level, idx, n FROM levels",
+        "feature_matrix": f"""{base}
+            SELECT s.row_a, s.row_b, CAST(vl.idx AS DOUBLE) AS label,
+                   s.l_quantity AS f0, s.l_extendedprice AS f1, s.l_discount AS f2, s.l_tax AS f3, {fcols}
+            FROM strain s {joins}
+            JOIN levels vl ON vl.\"column\" = 'label_yn' AND vl.level = s.label_yn""",
+        "binary_report": f"""{base} {_multiclass_sql('prediction', 'label')} {_curve_sql('prediction', 'label')}
+            SELECT 'precision_' || CAST(CAST(label AS INTEGER) AS VARCHAR) AS metric, round(precision, 6) AS value FROM per
+            UNION ALL SELECT 'recall_' || CAST(CAST(label AS INTEGER) AS VARCHAR), round(recall, 6) FROM per
+            UNION ALL SELECT 'accuracy', round(accuracy, 6) FROM overall
+            UNION ALL SELECT 'area_under_roc', round(auc, 6) FROM areas
+            UNION ALL SELECT 'area_under_pr', round(aupr, 6) FROM areas""",
+        "multiclass_report": f"""{base} {_multiclass_sql('band_prediction', 'band')}
+            SELECT 'precision' AS metric, label, round(precision, 6) AS value FROM per
+            UNION ALL SELECT 'recall', label, round(recall, 6) FROM per
+            UNION ALL SELECT 'accuracy', CAST(NULL AS DOUBLE), round(accuracy, 6) FROM overall
+            UNION ALL SELECT 'weighted_precision', CAST(NULL AS DOUBLE), round(weighted_precision, 6) FROM overall
+            UNION ALL SELECT 'weighted_recall', CAST(NULL AS DOUBLE), round(weighted_recall, 6) FROM overall""",
+        "auc_exact": f"""{base} {_curve_sql('score', 'label')}
+            SELECT round(auc, 6) AS auc, round(aupr, 6) AS aupr, n_pos, n_neg FROM areas""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(recommender_sql())
     out.update(weather_sql())
+    out.update(survey_sql())
     return out

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quillon.plans import recommender as R
+from quillon.plans import survey as V
 from quillon.plans import weather as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,5 +41,18 @@ def queries() -> dict[str, Query]:
         "weather_lr_full": W.q_weather_lr_full,
         "weather_rf": W.q_weather_rf,
         "best_regressor": W.q_best_regressor,
+        "survey_filtered": V.q_survey_filtered,
+        "hash_split_counts": V.q_hash_split_counts,
+        "string_index_levels": V.q_string_index_levels,
+        "feature_matrix": V.q_feature_matrix,
+        "binary_report": V.q_binary_report,
+        "multiclass_report": V.q_multiclass_report,
+        "auc_exact": V.q_auc_exact,
+        "dt_tvs": V.q_dt_tvs,
+        "dt_cv": V.q_dt_cv,
+        "gbt_ovr": V.q_gbt_ovr,
+        "rf_cv": V.q_rf_cv,
+        "model_comparison": V.q_model_comparison,
+        "model_roundtrip": V.q_model_roundtrip,
     }
     return q
