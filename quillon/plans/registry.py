@@ -54,5 +54,10 @@ def queries() -> dict[str, Query]:
         "rf_cv": V.q_rf_cv,
         "model_comparison": V.q_model_comparison,
         "model_roundtrip": V.q_model_roundtrip,
+        "als_top50": R.q_als_top50,
+        "als_user_auc": R.q_als_user_auc,
+        "als_metrics": R.q_als_metrics,
+        "als_grid": R.q_als_grid,
+        "als_profile_top25": R.q_als_profile_top25,
     }
     return q
