@@ -79,7 +79,14 @@ def per_key_split(
     """
     h = portable_hash(row_a, row_b)
     rows = df.withColumn("_h", h).withColumn("_b", F.floor(F.col("_h") / BUCKET_SHIFT).cast("int"))
-    bucket_counts = rows.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    # stated once here (the join below would infer it on one branch only), so
+    # both uses of `ranked` share one shuffle and the input is scanned once
+    rows = rows.filter(F.col(key).isNotNull() & F.col("_b").isNotNull())
+    w_in = Window.partitionBy(key, "_b").orderBy("_h", row_a, row_b, *tie_breakers)
+    ranked = rows.withColumn("_rin", F.row_number().over(w_in))
+    # bucket sizes come from the ranked rows: they are already partitioned by
+    # (key, bucket), so this aggregate adds no shuffle and the input is read once
+    bucket_counts = ranked.groupBy(key, "_b").agg(F.max("_rin").alias("_cnt"))
     w_key = Window.partitionBy(key).orderBy("_b")
     offsets = bucket_counts.select(
         key,
@@ -87,8 +94,6 @@ def per_key_split(
         F.coalesce(F.sum("_cnt").over(w_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.sum("_cnt").over(Window.partitionBy(key)).alias("n"),
     )
-    w_in = Window.partitionBy(key, "_b").orderBy("_h", row_a, row_b, *tie_breakers)
-    ranked = rows.withColumn("_rin", F.row_number().over(w_in))
     out = ranked.join(offsets, [key, "_b"])
     rn = (F.col("_before") + F.col("_rin")).alias("rn")
     limit = F.floor(F.col("n") * train_num / train_den)

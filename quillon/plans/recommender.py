@@ -31,10 +31,18 @@ def active_ratings(spark: SparkSession, sf_dir: str, threshold: int = standins.A
     return activity.keep_keys(r, activity.active_keys(r, threshold, "user_id"), "user_id")
 
 
-def split_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.per_key_split(
-        active_ratings(spark, sf_dir), "user_id", "row_a", "row_b", tie_breakers=("item_id", "plays")
+def split_ratings(spark: SparkSession, sf_dir: str, threshold: int = standins.ACTIVE_THRESHOLD) -> DataFrame:
+    """W1 on the active users' rows.
+
+    The activity threshold is applied to the split's own per-user row count
+    ``n`` (a user's ranks depend on that user's rows only), so no separate
+    semi-join pass over the ratings is needed; the result equals splitting the
+    output of ``active_ratings``.
+    """
+    s = split.per_key_split(
+        resolved_ratings(spark, sf_dir), "user_id", "row_a", "row_b", tie_breakers=("item_id", "plays")
     )
+    return s.filter(F.col("n") >= threshold)
 
 
 def popularity_list(train: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -202,16 +210,31 @@ def q_als_user_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_als_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E8-E10 + baseline: mean user AUC (ALS and popularity), pooled-pair AUC, precision / recall /
-    accuracy at 50, as (metric, value)."""
+    accuracy at 50, as (metric, value).
+
+    The split and the recommendation lists are cached for the five small
+    aggregates computed from them and released before returning.
+    """
     from quillon.operators import recommend
 
-    train, test, recs = _fit_and_recommend(spark, sf_dir)
-    items_total = train.agg(F.count_distinct("item_id")).first()[0]
-    als_auc = recommend.user_auc(recs, test).agg(F.avg("auc")).first()[0]
-    pop = popularity_list(train)
-    pop_auc = metrics.shared_list_user_auc(test, pop, TOP_N).agg(F.avg("auc")).first()[0]
-    pooled = metrics.pooled_pair_areas(recommend.label_lists(recs, test), "score", "label").first()
-    conf = recommend.confusion_at(recs, test, TOP_N, items_total).first()
+    s = split_ratings(spark, sf_dir).persist()
+    recs = None
+    try:
+        train = s.filter(F.col("part") == "train").select("user_id", "item_id", "plays")
+        test = s.filter(F.col("part") == "test").select("user_id", "item_id")
+        recommend.check_int_ids(train)
+        model = recommend.fit(train, **ALS_PARAMS)
+        recs = recommend.top_n(model, test.select("user_id"), TOP_N).persist()
+        items_total = train.agg(F.count_distinct("item_id")).first()[0]
+        als_auc = recommend.user_auc(recs, test).agg(F.avg("auc")).first()[0]
+        pop = popularity_list(train)
+        pop_auc = metrics.shared_list_user_auc(test, pop, TOP_N).agg(F.avg("auc")).first()[0]
+        pooled = metrics.pooled_pair_areas(recommend.label_lists(recs, test), "score", "label").first()
+        conf = recommend.confusion_at(recs, test, TOP_N, items_total).first()
+    finally:
+        if recs is not None:
+            recs.unpersist()
+        s.unpersist()
     rows = [
         ("als_mean_user_auc", als_auc),
         ("popularity_mean_user_auc", pop_auc),
