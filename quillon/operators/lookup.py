@@ -64,23 +64,19 @@ def search_names(
 ) -> DataFrame:
     """(term, pos, item_id, name): first ``take`` names (by id) containing each term, any case.
 
-    ``contains`` on lowered text, so ``%`` or ``_`` in a term are literal. Each
-    term is one filter over the name table (terms are a short literal list, a
-    union of filters, not a join); the per-term top-``take`` keeps only
-    ``take`` rows per task before the final merge.
+    One scan: each name gets the array of terms it contains (``contains`` on
+    lowered text, so ``%`` and ``_`` are literal), exploded to one row per
+    match. ``row_number() <= take`` per term is planned as a partial
+    WindowGroupLimit before the shuffle, so a term that matches a third of all
+    names still sends only ``take`` rows per task.
     """
-    parts = []
-    for t in terms:
-        hits = names.filter(F.lower(F.col(name_col)).contains(t.lower())).select(
-            F.lit(t).alias("term"), F.col(id_col), F.col(name_col)
-        )
-        parts.append(hits.orderBy(id_col).limit(take))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    term_arr = F.array(*[F.lit(t) for t in terms])
+    lowered = F.lower(F.col(name_col))
+    matched = F.filter(term_arr, lambda t: lowered.contains(F.lower(t)))
+    hits = names.select(F.col(id_col), F.col(name_col), F.explode(matched).alias("term"))
     w = Window.partitionBy("term").orderBy(id_col)
-    # at most len(terms) * take rows here: a bounded window
-    return out.select("term", F.row_number().over(w).alias("pos"), id_col, name_col)
+    ranked = hits.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= take)
+    return ranked.select("term", "pos", id_col, name_col)
 
 
 __all__ = ["dedupe_lookup", "resolve_aliases", "attach_names", "search_names", "bounded_broadcast", "UNKNOWN_NAME"]
