@@ -31,19 +31,24 @@ def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     q: float = 0.5,
-    accuracy: int = 100_000,
+    accuracy: int = 10_000,
     max_candidates: int = 1_000_000,
     max_rounds: int = 8,
 ) -> dict[str, float]:
     cols = list(cols)
-    counts = df.agg(*[F.count(_clean(c)).alias(c) for c in cols]).first()
-    n = {c: int(counts[c]) for c in cols}
+    d = 2.0 / accuracy
+    # pass 1: counts and a first approximate bracket around the target, in one job
+    first = df.agg(
+        *[F.count(_clean(c)).alias(f"{c}__n") for c in cols],
+        *[F.percentile_approx(_clean(c), [max(0.0, q - d), min(1.0, q + d)], accuracy).alias(f"{c}__b") for c in cols],
+    ).first()
+    n = {c: int(first[f"{c}__n"]) for c in cols}
     empty = [c for c in cols if n[c] == 0]
     if empty:
         raise ValueError(f"surrogate cannot be computed: no values in {empty}")
     k = {c: max(1, math.ceil(q * n[c])) for c in cols}
-    lo = {c: -math.inf for c in cols}
-    hi = {c: math.inf for c in cols}
+    lo = {c: float(first[f"{c}__b"][0]) for c in cols}
+    hi = {c: float(first[f"{c}__b"][1]) for c in cols}
     result: dict[str, float] = {}
     pending = list(cols)
     for _ in range(max_rounds):
@@ -89,13 +94,12 @@ def _pick_in_brackets(df, cols, lo, hi, local_rank, k=None) -> dict[str, float]:
     if local_rank is None:  # compute ranks relative to the bracket from global counts
         row = df.agg(*[F.count_if(_clean(c) < F.lit(lo[c])).alias(c) for c in cols]).first()
         local_rank = {c: k[c] - int(row[c]) for c in cols}
-    parts = [
-        df.select(F.lit(c).alias("name"), _clean(c).alias("v")).filter(F.col("v").between(F.lit(lo[c]), F.lit(hi[c])))
-        for c in cols
-    ]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    # one scan: (column, value) pairs inside each column's bracket
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), _clean(c).alias("v")) for c in cols]))
+    inside = F.lit(False)
+    for c in cols:
+        inside = inside | ((F.col("name") == c) & F.col("v").between(F.lit(lo[c]), F.lit(hi[c])))
+    long = df.select(pairs.alias("x")).select("x.name", "x.v").filter(inside)
     grouped = long.groupBy("name", "v").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy("name").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     target = F.lit(None).cast("bigint")

@@ -41,6 +41,7 @@ def queries() -> dict[str, Query]:
         "weather_lr_full": W.q_weather_lr_full,
         "weather_rf": W.q_weather_rf,
         "best_regressor": W.q_best_regressor,
+        "weather_job": W.q_weather_job,
         "survey_filtered": V.q_survey_filtered,
         "hash_split_counts": V.q_hash_split_counts,
         "string_index_levels": V.q_string_index_levels,

@@ -183,3 +183,64 @@ def q_best_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["metrics"]
+
+
+def q_weather_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole weather job in one run, as the reference runs it: one staged scan, the
+    parsed rows cached once, then counts, split, medians, both regressions with MSE per
+    part, the correlation ranking and the two winners. Returns (metric, value, text).
+
+    Each statistic family is one aggregate job; cached inputs are released at the end.
+    """
+    lines = staged_lines(spark, sf_dir)
+    checked = FW.with_validity(lines).persist()
+    rows_out: list[tuple[str, float | None, str | None]] = []
+    assembled = None
+    try:
+        c = checked.agg(
+            F.count(F.lit(1)).alias("raw"),
+            F.count_if("valid").alias("parsed"),
+            F.min(F.when(F.col("valid"), F.col("year"))).alias("min_year"),
+            F.max(F.when(F.col("valid"), F.col("year"))).alias("max_year"),
+        ).first()
+        rows_out += [("raw_lines", float(c["raw"]), None), ("parsed_rows", float(c["parsed"]), None),
+                     ("dropped_rows", float(c["raw"] - c["parsed"]), None),
+                     ("min_year", float(c["min_year"]), None), ("max_year", float(c["max_year"]), None)]
+        parts = split.chronological_split(
+            checked.filter("valid").drop("valid"), "year", standins.WEATHER_TRAIN_YEARS,
+            standins.WEATHER_VAL_YEAR, standins.WEATHER_TEST_YEAR,
+        )
+        counts = {r["part"]: r["n"] for r in parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+        split.require_nonempty_parts(counts)
+        rows_out += [(f"rows_{p}", float(counts[p]), None) for p in ("train", "validation", "test")]
+        med = impute.exact_quantiles(parts.filter(F.col("part") == "train"), FW.NULLABLE_FEATURES, 0.5)
+        rows_out += [(f"median_{k}", float(v), None) for k, v in med.items()]
+        imputed = impute.fill_with(parts, med)
+        # all twelve correlations in one job
+        pairs = [(x, x) for x in FW.BASE_FEATURES] + list(zip(FW.NULLABLE_FEATURES, IMPUTED))
+        corr = correlation.correlations(imputed, pairs, FW.LABEL).collect()
+        rows_out += [(f"r_{r['feature']}", r["r"], None) for r in corr]
+        ok = [r for r in corr if r["r"] is not None and r["r"] == r["r"]]
+        if not ok:
+            raise RuntimeError("no defined correlation")
+        best_f = max(ok, key=lambda r: (abs(r["r"]), -r["pos"]))
+        rows_out.append(("best_feature", best_f["r"], best_f["feature"]))
+        assembled = models.assembler(MODEL_INPUTS).transform(imputed.filter(F.col("part").isNotNull())).select(
+            "features", FW.LABEL, "part").persist()
+        train = assembled.filter(F.col("part") == "train")
+        test_mse = {}
+        for name, est in (("LinearRegression", models.linear_regression(FW.LABEL, max_iter=100, reg_param=0.001)),
+                          ("RandomForestRegressor", models.random_forest_regressor(FW.LABEL, num_trees=10))):
+            model = est.fit(train)
+            d = F.col(FW.LABEL) - F.col("prediction")
+            for r in model.transform(assembled).groupBy("part").agg(F.avg(d * d).alias("mse")).collect():
+                rows_out.append((f"mse_{name}_{r['part']}", float(r["mse"]), None))
+                if r["part"] == "test":
+                    test_mse[name] = float(r["mse"])
+        best_m = "LinearRegression" if test_mse["LinearRegression"] <= test_mse["RandomForestRegressor"] else "RandomForestRegressor"
+        rows_out.append(("best_model", test_mse[best_m], best_m))
+    finally:
+        if assembled is not None:
+            assembled.unpersist()
+        checked.unpersist()
+    return spark.createDataFrame(rows_out, "metric string, value double, text string")
