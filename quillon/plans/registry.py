@@ -51,6 +51,7 @@ def queries() -> dict[str, Query]:
         "auc_exact": V.q_auc_exact,
         "dt_tvs": V.q_dt_tvs,
         "dt_cv": V.q_dt_cv,
+        "dt_tvs_reference_grid": V.q_dt_tvs_reference_grid,
         "gbt_ovr": V.q_gbt_ovr,
         "rf_cv": V.q_rf_cv,
         "model_comparison": V.q_model_comparison,
