@@ -19,6 +19,7 @@ from quillon import session as S
 from quillon.functions.hashing import fold_of, fraction_below, portable_hash
 from quillon.operators import clean, features, metrics, models, tune
 from quillon.sources import csv as csvsrc
+from quillon.sources import sinks
 from quillon.sources import standins
 
 NUMERIC = standins.SURVEY_NUMERIC
@@ -240,8 +241,7 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     and both applied to the test rows; counts rows whose predictions differ."""
     rows, best, prep = _dt_tuned(spark, sf_dir, "tvs")
     full = PipelineModel(stages=list(prep.stages) + [best])
-    path = S.staging_path(spark, "dt-model")
-    full.write().overwrite().save(path)
+    path = sinks.save_model(full, S.staging_path(spark, "dt-model"))
     loaded = PipelineModel.load(path)
     _, test = _train_test(spark, sf_dir)
     a = full.transform(test).select("row_a", "row_b", F.col("prediction").alias("p1"))

@@ -33,3 +33,18 @@ def test_profile_top25(spark):
     rows = E.queries()["als_profile_top25"](spark, SMALL).collect()
     assert [r.pos for r in rows] == list(range(1, 26))
     assert all(r.name for r in rows)
+
+
+def test_weather_job_report(spark):
+    m = {r.metric: r for r in E.queries()["weather_job"](spark, SMALL).collect()}
+    assert m["raw_lines"].value == m["parsed_rows"].value + m["dropped_rows"].value
+    assert m["rows_train"].value + m["rows_validation"].value + m["rows_test"].value <= m["parsed_rows"].value
+    assert m["best_model"].text in ("LinearRegression", "RandomForestRegressor")
+    rs = [r.value for k, r in m.items() if k.startswith("r_") and r.value is not None]
+    assert len(rs) == 12 and all(-1.0 <= v <= 1.0 for v in rs)
+    assert abs(m["best_feature"].value) == max(abs(v) for v in rs)
+
+
+def test_model_roundtrip_same_predictions(spark):
+    r = E.queries()["model_roundtrip"](spark, SMALL).first()
+    assert r.mismatches == 0 and r.test_rows > 0
