@@ -183,20 +183,31 @@ def _als_parts(spark: SparkSession, sf_dir: str):
 
 
 def _fit_and_recommend(spark: SparkSession, sf_dir: str, n: int = TOP_N):
+    """Fit on the training part and list the test users' top-n.
+
+    The split is cached while it feeds both the fit and the user list; the test
+    rows and the lists are then written as reliable checkpoints in the shared
+    folder, so the returned frames do not recompute the split or the model
+    scoring and survive lost executors.
+    """
     from quillon.operators import recommend
 
-    train, test = _als_parts(spark, sf_dir)
-    cached = train.persist()
+    s = split_ratings(spark, sf_dir).persist()
     try:
-        model = recommend.fit(cached, **ALS_PARAMS)
+        train = s.filter(F.col("part") == "train").select("user_id", "item_id", "plays")
+        test = s.filter(F.col("part") == "test").select("user_id", "item_id")
+        recommend.check_int_ids(train)
+        model = recommend.fit(train, **ALS_PARAMS)
+        recs = S.reliable_checkpoint(recommend.top_n(model, test.select("user_id"), n))
+        test = S.reliable_checkpoint(test)
     finally:
-        cached.unpersist()
-    return train, test, recommend.top_n(model, test.select("user_id"), n)
+        s.unpersist()
+    return test, recs
 
 
 def q_als_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M12 + J5 + M20: top-50 lists of the test users (seen items included, as the reference)."""
-    _, _, recs = _fit_and_recommend(spark, sf_dir)
+    _, recs = _fit_and_recommend(spark, sf_dir)
     return recs.select("user_id", "rank", "item_id", F.round("score", 6).alias("score"))
 
 
@@ -204,7 +215,7 @@ def q_als_user_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 + E9: per-user AUC of the ALS lists against the held-out items."""
     from quillon.operators import recommend
 
-    _, test, recs = _fit_and_recommend(spark, sf_dir)
+    test, recs = _fit_and_recommend(spark, sf_dir)
     return recommend.user_auc(recs, test).select("user_id", F.round("auc", 6).alias("auc"))
 
 
