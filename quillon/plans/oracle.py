@@ -76,6 +76,10 @@ def recommender_sql() -> dict[str, str]:
                               FROM part GROUP BY p_name, p_brand) m
               ON p.p_name = m.p_name AND p.p_brand = m.p_brand
             GROUP BY p.p_partkey""",
+        "interactions_line_counts": """
+            SELECT count(*) AS raw_lines, count(*) AS parsed_rows, CAST(0 AS BIGINT) AS dropped_rows
+            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+        "name_lines": "SELECT p_partkey AS item_id, trim(p_name) AS name FROM part",
         "alias_resolved_plays": _with("""
             SELECT item_id, count(*) AS n_ratings, CAST(sum(plays) AS BIGINT) AS total_plays
             FROM resolved GROUP BY item_id"""),

@@ -73,6 +73,24 @@ def q_alias_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.dedupe_lookup(parsed, "alias_id", "canonical_id")
 
 
+def q_interactions_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + S5 permissive: raw, parsed and rejected interaction lines of the staged text, one pass."""
+    r = standins.ratings(spark, sf_dir)
+    path = S.staging_path(spark, "interactions-counts")
+    text.write_lines(r.select(F.concat_ws(" ", "user_id", "item_raw", "plays").alias("line")), "line", path)
+    return text.line_counts(text.parse_interactions(text.scan_lines(spark, f"{path}/part-*")))
+
+
+def q_name_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item names staged as tab text (names padded with blanks), parsed back with stripping."""
+    names = standins.item_names(spark, sf_dir)
+    path = S.staging_path(spark, "names")
+    line = F.concat(F.col("item_id").cast("string"), F.lit("\t  "), F.col("name"), F.lit(" "))
+    text.write_lines(names.select(line.alias("line")), "line", path)
+    parsed = text.parse_name_lines(text.scan_lines(spark, f"{path}/part-*"))
+    return parsed.filter("valid").select("item_id", "name")
+
+
 def q_alias_resolved_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 + A3: ratings and plays per canonical item."""
     return resolved_ratings(spark, sf_dir).groupBy("item_id").agg(

@@ -17,6 +17,8 @@ def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "interactions_scan": R.q_interactions_scan,
         "alias_lines": R.q_alias_lines,
+        "interactions_line_counts": R.q_interactions_line_counts,
+        "name_lines": R.q_name_lines,
         "alias_resolved_plays": R.q_alias_resolved_plays,
         "active_users": R.q_active_users,
         "active_ratings": R.q_active_ratings,
