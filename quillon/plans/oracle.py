@@ -97,6 +97,19 @@ def recommender_sql() -> dict[str, str]:
             SELECT {fold} AS fold, count(*) AS n_rows, count(DISTINCT user_id) AS n_users
             FROM train GROUP BY 1"""),
         "popularity_top50": _with("SELECT rank, item_id, n_train FROM top50"),
+        "events_split_counts": f"""
+            WITH ev AS (
+              SELECT user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+                     event_id AS row_a, CAST(0 AS BIGINT) AS row_b
+              FROM events),
+            r AS (
+              SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY h, row_a, row_b, item_id) AS rn,
+                     count(*) OVER (PARTITION BY user_id) AS n
+              FROM (SELECT *, {ROW_HASH} AS h FROM ev WHERE item_id IS NOT NULL) x)
+            SELECT user_id, count(*) FILTER (WHERE rn <= (4 * n) // 5) AS n_train,
+                   count(*) FILTER (WHERE rn > (4 * n) // 5) AS n_test,
+                   count(DISTINCT CASE WHEN rn > (4 * n) // 5 THEN item_id END) AS test_items
+            FROM r GROUP BY user_id""",
         "popularity_user_auc": _with("""
             , users AS (SELECT DISTINCT user_id FROM test)
             , lab AS (

@@ -122,6 +122,18 @@ def q_user_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("user_id", "item_id", "row_a", "row_b", F.col("rn").cast("bigint").alias("rn"), "part")
 
 
+def q_events_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on the dense event interactions (few users, many rows each): train / test rows per user,
+    plus the number of distinct items each part holds."""
+    s = split.per_key_split(standins.event_ratings(spark, sf_dir), "user_id", "row_a", "row_b",
+                            tie_breakers=("item_id",))
+    return s.groupBy("user_id").agg(
+        F.count_if(F.col("part") == "train").alias("n_train"),
+        F.count_if(F.col("part") == "test").alias("n_test"),
+        F.count_distinct(F.when(F.col("part") == "test", F.col("item_id"))).alias("test_items"),
+    )
+
+
 def q_fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P-2: five hash folds over the training rows (row-level, not per user)."""
     train = split_ratings(spark, sf_dir).filter(F.col("part") == "train")

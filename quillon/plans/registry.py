@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "user_split_counts": R.q_user_split_counts,
         "user_split_rows": R.q_user_split_rows,
         "fold_counts": R.q_fold_counts,
+        "events_split_counts": R.q_events_split_counts,
         "popularity_top50": R.q_popularity_top50,
         "popularity_user_auc": R.q_popularity_user_auc,
         "popularity_mean_auc": R.q_popularity_mean_auc,

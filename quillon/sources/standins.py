@@ -5,6 +5,7 @@ TPC-H-like tables in the same shape (see FIXTURES.md, part B). Every frame here
 is a lazy plan over the parquet scans, so its size grows with the tables.
 
 * ``ratings``      implicit interactions (user_id, item_raw, plays, row_a, row_b)
+* ``event_ratings`` the denser second set: events, item = JSON ``k`` of props
 * ``aliases``      alias -> canonical item (alias_id, canonical_id)
 * ``item_names``   (item_id, name)
 * ``survey``       classification table with a Yes/No label and a 5-level band
@@ -46,6 +47,19 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The denser second interaction set: one row per event, item = ``k`` of the JSON props.
+
+    (row_a, row_b) = (event_id, 0). Events without a numeric ``k`` are dropped.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "props")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    return ev.select(
+        F.col("user_id"), k.alias("item_id"), F.lit(1).cast("bigint").alias("plays"),
+        F.col("event_id").alias("row_a"), F.lit(0).cast("bigint").alias("row_b"),
+    ).filter(F.col("item_id").isNotNull())
+
+
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part maps to the smallest part key with the same (name, brand).
 
