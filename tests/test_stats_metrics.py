@@ -127,3 +127,23 @@ def test_ridge_one_feature_closed_form(spark):
     b = np.cov(xs, ys, bias=True)[0, 1] / (xs.var() * (1 + lam / ys.std()))
     assert m.coefficients[0] == pytest.approx(b, rel=1e-6)
     assert m.intercept == pytest.approx(ys.mean() - b * xs.mean(), rel=1e-6)
+
+
+def test_correlations_match_pearson_with_constant_and_nulls(spark):
+    from quillon.functions.stats import pearson
+    from quillon.operators.correlation import correlations
+
+    rng = random.Random(9)
+    rows = []
+    for _ in range(3000):
+        x = rng.gauss(0, 1)
+        y = 2 * x + rng.gauss(0, 1)
+        z = x if rng.random() > 0.2 else None
+        w = float("nan") if rng.random() < 0.05 else rng.random()
+        rows.append((x, 5.0, z, w, y))
+    df = spark.createDataFrame(rows, "x double, c double, z double, w double, y double")
+    got = {r.feature: r.r for r in correlations(df, [("x", "x"), ("c", "c"), ("z", "z"), ("w", "w")], "y").collect()}
+    ref = df.agg(*[pearson(c, "y").alias(c) for c in ("x", "c", "z", "w")]).first()
+    assert got["c"] is None and ref["c"] is None
+    for c in ("x", "z", "w"):
+        assert got[c] == pytest.approx(ref[c], abs=1e-12)
