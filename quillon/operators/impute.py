@@ -94,12 +94,12 @@ def _pick_in_brackets(df, cols, lo, hi, local_rank, k=None) -> dict[str, float]:
     if local_rank is None:  # compute ranks relative to the bracket from global counts
         row = df.agg(*[F.count_if(_clean(c) < F.lit(lo[c])).alias(c) for c in cols]).first()
         local_rank = {c: k[c] - int(row[c]) for c in cols}
-    # one scan: (column, value) pairs inside each column's bracket
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), _clean(c).alias("v")) for c in cols]))
-    inside = F.lit(False)
-    for c in cols:
-        inside = inside | ((F.col("name") == c) & F.col("v").between(F.lit(lo[c]), F.lit(hi[c])))
-    long = df.select(pairs.alias("x")).select("x.name", "x.v").filter(inside)
+    # one scan: only the (column, value) pairs inside a column's bracket are emitted
+    inside = [
+        F.when(_clean(c).between(F.lit(lo[c]), F.lit(hi[c])), F.struct(F.lit(c).alias("name"), _clean(c).alias("v")))
+        for c in cols
+    ]
+    long = df.select(F.explode(F.array_compact(F.array(*inside))).alias("x")).select("x.name", "x.v")
     grouped = long.groupBy("name", "v").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy("name").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     target = F.lit(None).cast("bigint")
