@@ -48,3 +48,40 @@ def test_weather_job_report(spark):
 def test_model_roundtrip_same_predictions(spark):
     r = E.queries()["model_roundtrip"](spark, SMALL).first()
     assert r.mismatches == 0 and r.test_rows > 0
+
+
+def test_seeded_models_repeat_and_probabilities_are_valid(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from quillon.operators import models
+    from quillon.plans import survey as V
+
+    prep, train_a, test_a = V._prepared(spark, SMALL, V.LABEL_BAND)
+    train_a = train_a.cache()
+    labels = {r.label for r in train_a.select("label").distinct().collect()}
+    for est in (models.random_forest(numTrees=5, maxDepth=5), models.decision_tree(maxDepth=5)):
+        p1 = est.fit(train_a).transform(test_a).select("row_a", "row_b", "prediction", "probability")
+        p2 = est.fit(train_a).transform(test_a).select("row_a", "row_b", "prediction", "probability")
+        a = sorted((r.row_a, r.row_b, r.prediction) for r in p1.collect())
+        b = sorted((r.row_a, r.row_b, r.prediction) for r in p2.collect())
+        assert a == b                                   # same seed, same model
+        assert {x[2] for x in a} <= labels              # predictions are known labels
+        sums = p1.select(F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda acc, v: acc + v).alias("s"))
+        assert sums.filter(F.abs(F.col("s") - 1.0) > 1e-9).count() == 0
+    train_a.unpersist()
+
+
+def test_tree_leaf_counts_cover_training_rows(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from quillon.operators import models
+    from quillon.plans import survey as V
+
+    _, train_a, _ = V._prepared(spark, SMALL, V.LABEL_YN)
+    m = models.decision_tree(maxDepth=4, leafCol="leaf").fit(train_a)
+    out = m.transform(train_a).select(
+        "leaf", F.aggregate(vector_to_array("rawPrediction"), F.lit(0.0), lambda a, v: a + v).alias("leaf_rows"))
+    per_leaf = out.groupBy("leaf").agg(F.count("*").alias("n"), F.first("leaf_rows").alias("leaf_rows")).collect()
+    # each leaf's class counts are exactly the training rows routed to it, and they sum to all rows
+    assert all(abs(r.n - r.leaf_rows) < 1e-9 for r in per_leaf)
+    assert sum(r.n for r in per_leaf) == train_a.count()
