@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.functions.sizing import bounded_broadcast, checked_broadcast
+from quillon.functions.sizing import checked_broadcast
 
 # Fixed value: the name shown for an id without a name.
 UNKNOWN_NAME = "Unknown Artist"
@@ -79,4 +79,4 @@ def search_names(
     return ranked.select("term", "pos", id_col, name_col)
 
 
-__all__ = ["dedupe_lookup", "resolve_aliases", "attach_names", "search_names", "bounded_broadcast", "UNKNOWN_NAME"]
+__all__ = ["dedupe_lookup", "resolve_aliases", "attach_names", "search_names", "UNKNOWN_NAME"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon import session as S
-from quillon.operators import correlation, impute, metrics, models, rank, split
+from quillon.operators import correlation, impute, models, rank, split
 from quillon.sources import fixedwidth as FW
 from quillon.sources import standins, text
 
@@ -182,8 +182,6 @@ def q_best_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank.argmin(df.filter(F.col("part") == "test"), "mse", "pos").select("model", "mse")
 
 
-__all__ = ["metrics"]
-
 
 def q_weather_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole weather job in one run, as the reference runs it: one staged scan, the
