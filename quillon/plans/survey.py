@@ -166,9 +166,11 @@ def _dt_tuned(spark, sf_dir, method: str, grid_axes: dict | None = None, name: s
             best, scores = tune.train_validation_split(dt, grid, ev, train_a, "tvs_train")
         pred = best.transform(test_a)
         test_auc = ev.evaluate(pred)
+        train_auc = ev.evaluate(best.transform(train_a))
         bp = tune.best_params(best, ["impurity", "maxDepth", "maxBins"])
         rep = metrics.binary_report(pred, "prediction", "label")
         rows = _report_rows(name, bp, rep)
+        rows.append((name, "train_auc_rawPrediction", float(train_auc), None))
         rows.append((name, "test_auc_rawPrediction", float(test_auc), None))
         rows.append((name, "best_validation_metric", float(max(scores)), None))
         return rows, best, prep
@@ -214,7 +216,14 @@ def _rf_rows(spark, sf_dir):
         best, _ = tune.cross_validate(rf, tune.grid(rf, **RF_GRID), ev, train_a, "fold", FOLDS)
         bp = tune.best_params(best, ["numTrees", "maxDepth", "maxBins", "impurity"])
         rep = metrics.multiclass_report(best.transform(test_a), "prediction", "label")
-        return _report_rows("random_forest", bp, rep.filter(F.col("label").isNull()).select("metric", "value"))
+        # overall rows, then precision / recall of every label (labels in ascending order)
+        named = rep.orderBy(F.col("label").asc_nulls_first(), "metric").select(
+            F.when(F.col("label").isNull(), F.col("metric"))
+            .otherwise(F.concat(F.col("metric"), F.lit("_label_"), F.col("label").cast("int").cast("string")))
+            .alias("metric"),
+            "value",
+        )
+        return _report_rows("random_forest", bp, named)
     finally:
         train_a.unpersist()
 
@@ -231,7 +240,8 @@ def q_rf_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy and weighted precision / recall of both multiclass models, side by side."""
-    rows = [r for r in _gbt_rows(spark, sf_dir) + _rf_rows(spark, sf_dir) if r[2] is not None]
+    rows = [r for r in _gbt_rows(spark, sf_dir) + _rf_rows(spark, sf_dir)
+            if r[2] is not None and "_label_" not in r[1]]
     df = spark.createDataFrame(rows, REPORT_SCHEMA)
     return df.groupBy(F.col("item").alias("metric")).pivot("model", ["gbt_ovr", "random_forest"]).agg(F.first("value"))
 
