@@ -39,6 +39,16 @@ def hash_split(df: DataFrame, key: str, other: str | None = None, train_num: int
     return df.withColumn("part", F.when(fraction_below(h, train_num, train_den), "train").otherwise("test"))
 
 
+def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[DataFrame]:
+    """P-1 as the reference ran it (``randomSplit``): Bernoulli sampling per row.
+
+    Kept for compatibility only: the rows chosen depend on how the input is
+    partitioned, so a different partitioning (or a recomputed partition on
+    another layout) gives another split. ``hash_split`` is the default.
+    """
+    return df.randomSplit(list(weights), seed)
+
+
 def with_fold(df: DataFrame, key: str, other: str | None = None, k: int = 5, out: str = "fold") -> DataFrame:
     """P-2 / U1: fold id in [0, k); a fold's complement is 'all other folds' (no unions)."""
     return df.withColumn(out, fold_of(portable_hash(key, other), k))

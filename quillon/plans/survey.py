@@ -167,11 +167,14 @@ def _dt_tuned(spark, sf_dir, method: str, grid_axes: dict | None = None, name: s
         pred = best.transform(test_a)
         test_auc = ev.evaluate(pred)
         train_auc = ev.evaluate(best.transform(train_a))
+        # a single tree's rawPrediction holds leaf class counts; probability ranks by leaf purity
+        test_auc_prob = ev.evaluate(pred, {ev.rawPredictionCol: "probability"})
         bp = tune.best_params(best, ["impurity", "maxDepth", "maxBins"])
         rep = metrics.binary_report(pred, "prediction", "label")
         rows = _report_rows(name, bp, rep)
         rows.append((name, "train_auc_rawPrediction", float(train_auc), None))
         rows.append((name, "test_auc_rawPrediction", float(test_auc), None))
+        rows.append((name, "test_auc_probability", float(test_auc_prob), None))
         rows.append((name, "best_validation_metric", float(max(scores)), None))
         return rows, best, prep
     finally:

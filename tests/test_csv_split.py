@@ -63,3 +63,10 @@ def test_folds_partition_rows(spark):
     df = split.with_fold(spark.range(3000).select(F.col("id").alias("a")), "a", None, k=5)
     counts = [r["count"] for r in df.groupBy("fold").count().collect()]
     assert len(counts) == 5 and sum(counts) == 3000
+
+
+def test_random_split_option_partitions_rows(spark):
+    df = spark.range(4000).select(F.col("id").alias("a"))
+    train, test = split.random_split(df, (0.8, 0.2), seed=42)
+    assert train.count() + test.count() == 4000
+    assert train.join(test, "a").count() == 0
