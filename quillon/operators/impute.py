@@ -50,7 +50,15 @@ def exact_quantiles(
     lo = {c: float(first[f"{c}__b"][0]) for c in cols}
     hi = {c: float(first[f"{c}__b"][1]) for c in cols}
     result: dict[str, float] = {}
-    pending = list(cols)
+    # When the approximate bracket is provably small (rank error n / accuracy on each
+    # side), pick directly: values below the bracket are emitted as one sentinel per
+    # column, so the running count already starts at the right offset (two passes).
+    direct = [c for c in cols if n[c] * 8 <= max_candidates * accuracy]
+    if direct:
+        result.update(_pick_with_below(df, direct, lo, hi, k))
+    pending = [c for c in cols if c not in result]
+    if not pending:
+        return result
     for _ in range(max_rounds):
         aggs = []
         for c in pending:
@@ -90,6 +98,31 @@ def exact_quantiles(
     return result
 
 
+def _pick_with_below(df, cols, lo, hi, k) -> dict[str, float]:
+    """Exact value at global rank k[c] when it lies in [lo, hi]; columns whose
+    bracket missed the rank are left out (the caller falls back)."""
+    below = float("-inf")
+    emitted = [
+        F.when(_clean(c) < F.lit(lo[c]), F.struct(F.lit(c).alias("name"), F.lit(below).alias("v")))
+        .when(_clean(c) <= F.lit(hi[c]), F.struct(F.lit(c).alias("name"), _clean(c).alias("v")))
+        for c in cols
+    ]
+    long = df.select(F.explode(F.array_compact(F.array(*emitted))).alias("x")).select("x.name", "x.v")
+    grouped = long.groupBy("name", "v").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("name").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    target = F.lit(None).cast("bigint")
+    for c in cols:
+        target = F.when(F.col("name") == c, F.lit(k[c])).otherwise(target)
+    picked = (
+        grouped.withColumn("cum", F.sum("c").over(w))
+        .filter(F.col("cum") >= target)
+        .groupBy("name")
+        .agg(F.min("v").alias("v"))
+        .collect()  # one row per column at most
+    )
+    return {r["name"]: float(r["v"]) for r in picked if r["v"] is not None and r["v"] != below}
+
+
 def _pick_in_brackets(df, cols, lo, hi, local_rank, k=None) -> dict[str, float]:
     if local_rank is None:  # compute ranks relative to the bracket from global counts
         row = df.agg(*[F.count_if(_clean(c) < F.lit(lo[c])).alias(c) for c in cols]).first()

@@ -1,5 +1,6 @@
 """Metric and statistic operators against Spark's own evaluators and brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -147,3 +148,15 @@ def test_correlations_match_pearson_with_constant_and_nulls(spark):
     assert got["c"] is None and ref["c"] is None
     for c in ("x", "z", "w"):
         assert got[c] == pytest.approx(ref[c], abs=1e-12)
+
+
+def test_exact_quantiles_direct_path_and_ties(spark):
+    rng = random.Random(21)
+    rows = [(float(rng.randint(0, 30)), rng.gauss(5, 2) if rng.random() > 0.1 else None) for _ in range(9001)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    for q in (0.5, 0.1, 0.9):
+        got = impute.exact_quantiles(df, ["a", "b"], q)  # default parameters: the two-pass path
+        for c, idx in (("a", 0), ("b", 1)):
+            vals = sorted(r[idx] for r in rows if r[idx] is not None)
+            k = max(1, math.ceil(q * len(vals)))
+            assert got[c] == vals[k - 1]
