@@ -59,6 +59,7 @@ def queries() -> dict[str, Query]:
         "rf_cv": V.q_rf_cv,
         "model_comparison": V.q_model_comparison,
         "model_roundtrip": V.q_model_roundtrip,
+        "doc_quality_tree": V.q_doc_quality_tree,
         "als_top50": R.q_als_top50,
         "als_user_auc": R.q_als_user_auc,
         "als_metrics": R.q_als_metrics,

@@ -265,3 +265,29 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     diff = ca.exceptAll(cb).count() + cb.exceptAll(ca).count()
     n = test.count()
     return spark.createDataFrame([(int(n), int(diff), len(full.stages))], "test_rows long, mismatches long, stages int")
+
+
+def q_doc_quality_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same classification flow on the second real label source (FIXTURES B1):
+    labels x documents, quality 0/1 from n_chars (numeric), lang and source (categorical).
+    Only those columns are read (the document text is pruned from the scan); split by a
+    hash of doc_id; decision tree; binary report on the held-out documents."""
+    from quillon.sources.tables import table
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    labs = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    df = labs.join(docs, "doc_id").select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"), "lang", "source",
+        F.col("quality").cast("string").alias("quality"),
+    )
+    df = df.withColumn("is_train", fraction_below(portable_hash("doc_id"), 4, 5))
+    train, test = df.filter("is_train"), df.filter(~F.col("is_train"))
+    stages = models.feature_pipeline(["n_chars"], ["lang", "source"], "quality")
+    prep, train_a = tune.prepare_once(stages, train)
+    model = models.decision_tree(maxDepth=5).fit(train_a)
+    pred = model.transform(prep.transform(test))
+    rep = metrics.binary_report(pred, "prediction", "label")
+    n_train, n_test = train_a.count(), pred.count()
+    rows = [("doc_quality_tree", "train_rows", float(n_train), None), ("doc_quality_tree", "test_rows", float(n_test), None)]
+    rows += _report_rows("doc_quality_tree", {}, rep)
+    return spark.createDataFrame(rows, REPORT_SCHEMA)

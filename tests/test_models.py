@@ -85,3 +85,9 @@ def test_tree_leaf_counts_cover_training_rows(spark):
     # each leaf's class counts are exactly the training rows routed to it, and they sum to all rows
     assert all(abs(r.n - r.leaf_rows) < 1e-9 for r in per_leaf)
     assert sum(r.n for r in per_leaf) == train_a.count()
+
+
+def test_doc_quality_tree_report(spark):
+    rows = {r.item: r.value for r in E.queries()["doc_quality_tree"](spark, SMALL).collect()}
+    assert rows["train_rows"] > 0 and rows["test_rows"] > 0
+    assert 0.0 <= rows["accuracy"] <= 1.0 and 0.0 <= rows["area_under_roc"] <= 1.0
