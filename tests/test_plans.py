@@ -46,3 +46,13 @@ def test_popularity_list_is_take_ordered(spark):
 def test_csv_label_filter_pushed(spark):
     plan = _plan(E.queries()["survey_filtered"](spark, SMALL), "formatted")
     assert "PushedFilters: [In(label_yn" in plan
+
+
+def test_documents_text_is_pruned(spark):
+    from quillon.sources.tables import table
+
+    docs = table(spark, SMALL, "documents").select("doc_id", "n_chars", "lang", "source")
+    joined = table(spark, SMALL, "labels").select("doc_id", "quality").join(docs, "doc_id")
+    plan = _plan(joined, "formatted")
+    assert "ReadSchema: struct<doc_id:bigint,n_chars:bigint,lang:string,source:string>" in plan
+    assert "text:string" not in plan
