@@ -54,5 +54,5 @@ def test_documents_text_is_pruned(spark):
     docs = table(spark, SMALL, "documents").select("doc_id", "n_chars", "lang", "source")
     joined = table(spark, SMALL, "labels").select("doc_id", "quality").join(docs, "doc_id")
     plan = _plan(joined, "formatted")
-    assert "ReadSchema: struct<doc_id:bigint,n_chars:bigint,lang:string,source:string>" in plan
+    assert "ReadSchema: struct<doc_id:bigint,lang:string,source:string,n_chars:bigint>" in plan
     assert "text:string" not in plan
