@@ -50,6 +50,10 @@ def lines_of(text: bytes) -> list[bytes]:
     return _CUT.findall(text)
 
 
+def count_lines(text: bytes) -> int:
+    return text.count(b". ") + text.count(b"\n") + (not text.endswith((b". ", b"\n")) and bool(text))
+
+
 def content(line: bytes) -> bytes:
     return line[:-1] if line.endswith(b"\n") else line[:-2] if line.endswith(b". ") else line
 
@@ -118,20 +122,25 @@ def _chunk_batches(batches):
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(no, pa.int32()), pa.array(np.array(hs, np.uint64).view(np.int64))], names=["doc_id", "line", "h"])
 
 
-def _text_batches(batches):
-    """Texts of the first occurrences: the last two columns are text and the lines wanted."""
-    for batch in batches:
-        hs, texts = [], []
-        for t, wanted in zip(text_bytes(batch.column("text_")), batch.column("wanted_").to_pylist()):
-            want = set(wanted)
-            for lo, _, chunk in chunks_of(t):
-                if lo in want:
-                    hs.append(xxh64_intdigest(chunk))
-                    texts.append(chunk)
-                    if len(hs) > 4000:
-                        yield _texts(hs, texts)
-                        hs, texts = [], []
-        yield _texts(hs, texts)
+def _text_batches(at_text: int):
+    """Texts of the first occurrences: the last column has the lines wanted."""
+
+    def run(batches):
+        for batch in batches:
+            hs, texts, size = [], [], 0
+            for t, wanted in zip(text_bytes(batch.column(at_text).cast(pa.string())), batch.column(batch.num_columns - 1).to_pylist()):
+                want = set(wanted)
+                for lo, _, chunk in chunks_of(t):
+                    if lo in want:
+                        hs.append(xxh64_intdigest(chunk))
+                        texts.append(chunk)
+                        size += len(chunk)
+                if size > 8_000_000:
+                    yield _texts(hs, texts)
+                    hs, texts, size = [], [], 0
+            yield _texts(hs, texts)
+
+    return run
 
 
 def _texts(hs, texts):
@@ -151,7 +160,7 @@ def _cut_batches(at_text: int, at_found: int):
             new, spans, n_lines = [], [], []
             for t, cand in zip(raw, found):
                 gone = []
-                n_lines.append(len(lines_of(t)) if t else 0)
+                n_lines.append(count_lines(t) if t else 0)
                 if cand:
                     kept = {}
                     for c in cand:
@@ -181,18 +190,22 @@ def dedup_lines(docs: DataFrame, report: bool = False) -> DataFrame:
     cand = chunks.join(again, "h").where("doc_id <> of or line <> at").select("doc_id", "line", "h")
 
     key = free_name("doc_", names)
-    dealt = docs.select(F.col("doc_id").cast("long").alias(key), *[F.col(c) for c in names])
+    # both joins see the same rows and columns, so that texts are dealt once
+    dealt = docs.select(F.col("doc_id").cast("long").alias(key), *names).where(F.col(key).isNotNull())
     wanted = again.groupBy("of").agg(F.collect_set("at").alias("wanted_"))
-    firsts = dealt.join(wanted, F.col(key) == F.col("of"))
-    kept = firsts.select(F.col("text").cast("string").alias("text_"), "wanted_").mapInArrow(_text_batches, "h long, kept_text binary").distinct()
+    firsts = dealt.join(wanted, F.col(key) == F.col("of")).drop("of")
+    low = [c.lower() for c in names]
+    at_text = low.index("text")
+    kept = firsts.mapInArrow(_text_batches(at_text + 1), "h long, kept_text binary").distinct()
     found_name = free_name("found_", names)
     found = cand.join(kept, "h").groupBy(F.col("doc_id").alias("in_")).agg(F.collect_list(F.struct("line", "kept_text")).alias(found_name))
-    both = dealt.join(found, F.col(key) == F.col("in_"), "left").select(*names, found_name)
-    low = [c.lower() for c in names]
-    both = both.withColumn(names[low.index("text")], F.col("text").cast("string"))
+    both = dealt.join(found, F.col(key) == F.col("in_"), "left").drop("in_", key)
+    without_id = docs.where(F.col("doc_id").cast("long").isNull()).withColumn(found_name, F.lit(None).cast(both.schema[found_name].dataType))
+    both = both.unionByName(without_id)
+    both = both.withColumn(names[at_text], F.col(names[at_text]).cast("string"))
     fields = [StructField(f.name, f.dataType) for f in both.schema if f.name != found_name]
     schema = StructType([*fields, StructField("n_lines_", LongType()), StructField("removed_", ArrayType(_FOUND))])
-    out = both.mapInArrow(_cut_batches(low.index("text"), len(names)), schema)
+    out = both.mapInArrow(_cut_batches(at_text, len(names)), schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.size("removed_") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     if not report:
