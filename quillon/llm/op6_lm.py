@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 from quillon.llm.common import crc_mod, staged, table, text_bytes
 
 FOLDS, HELD_OUT = 7, 2
-VOCAB, CLASSES, DIM, WINDOW, STEP = 1024, 48, 16, 24, 16
+VOCAB, CLASSES, DIM, WINDOW, STEP = 1024, 32, 16, 24, 16
 TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, RATE = 64, 3, 1, 128, 0.01
 PRIOR, DISCOUNT, CONTEXT = 20.0, 0.75, 0.6
 BLOCK_BYTES = 16_000_000
@@ -79,12 +79,13 @@ class Entries(dict):
 
     def __init__(self, path: str, entry: np.ndarray):
         super().__init__()
-        self.sub, self.entry = Subwords(path), entry
+        self.sub = Subwords(path)
+        self.parts = [e.tobytes() for e in entry.astype("<i4")]
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[word] = out = self.entry[self.sub.ids(word)].astype("<i4").tobytes()
+        self[word] = out = b"".join([self.parts[i] for i in self.sub.ids(word)])
         return out
 
 
@@ -117,9 +118,11 @@ def _subword_batches(path: str):
         sub = Subwords(path)
         total = np.zeros(sub.n_ids, np.int64)
         for batch in batches:
-            words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            ids = [sub.ids(w) for w in words]
-            total += np.bincount(np.concatenate(ids), np.repeat(n, list(map(len, ids))), sub.n_ids).astype(np.int64) if ids else 0
+            n = batch.column(1).to_numpy()
+            ids = [sub.ids(w) for w in batch.column(0).to_pylist()]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(size.sum()))
+            total += np.bincount(flat, np.repeat(n, size), sub.n_ids).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
@@ -168,10 +171,8 @@ def _pair_batches(path: str, entry: np.ndarray):
                 held.append(x)
                 size += len(x)
                 first = -crc32(str(d).encode()) % TRAIN_EVERY
-                if first * STEP < len(x) // 4 - 1:
-                    keys, target = windows_of(np.frombuffer(x, "<i4"))
-                    for k in range(first, len(keys), TRAIN_EVERY):
-                        windows.append(np.concatenate([keys[k], target[k]]).astype("<u2").tobytes())
+                for k in range(first, -(-(len(x) // 4 - 1) // STEP), TRAIN_EVERY):
+                    windows.append(window_at(x, k))
                 if size > 4_000_000:
                     count()
                     held, size = [], 0
@@ -209,6 +210,17 @@ def windows_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys, y.reshape(n, STEP)
 
 
+def window_at(x: bytes, k: int) -> bytes:
+    """Window k of ``windows_of``, keys and targets as uint16."""
+    pad = VOCAB.to_bytes(4, "little")
+    lo, hi = k * STEP - (WINDOW - STEP), (k + 1) * STEP
+    last = len(x) // 4 - 1  # the last entry is no key
+    keys = pad * max(0, -lo) + x[4 * max(0, lo) : 4 * min(hi, last)]
+    target = x[4 * (k * STEP + 1) : 4 * (hi + 1)]
+    w = keys + pad * (WINDOW - len(keys) // 4) + target + pad * (STEP - len(target) // 4)
+    return np.frombuffer(w, "<i4").astype("<u2").tobytes()
+
+
 _LAG = (np.arange(STEP)[:, None] + WINDOW - STEP) - np.arange(WINDOW)[None, :]
 
 
