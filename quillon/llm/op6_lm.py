@@ -40,7 +40,6 @@ from __future__ import annotations
 
 import base64
 from collections import Counter, defaultdict
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -54,7 +53,7 @@ from quillon.llm.common import crc_mod, staged, table, text_bytes
 
 FOLDS, HELD_OUT = 7, 2
 VOCAB, CLASSES, DIM, WINDOW, STEP = 1024, 32, 16, 24, 16
-TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, RATE = 64, 3, 1, 128, 0.01
+TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, RATE = 128, 3, 1, 128, 0.01
 PRIOR, DISCOUNT, CONTEXT = 20.0, 0.75, 0.6
 BLOCK_BYTES = 16_000_000
 END = b"\n"  # no word holds it
@@ -73,6 +72,9 @@ class Subwords:
     def ids(self, word: bytes) -> list[int]:
         return [self.n_ids - 1] if word == END else self.encoding.encode_ordinary(" " + word.decode())
 
+    def packed(self, word: bytes) -> bytes:
+        return np.array(self.ids(word), "<u2").tobytes()
+
 
 class Entries(dict):
     """word -> little-endian int32 entries of its subword ids in the vocabulary."""
@@ -113,16 +115,25 @@ def _word_batches(batches):
     yield flush()
 
 
-def _subword_batches(path: str):
+def _id_batches(path: str):
+    """Words with their counts and their subword ids (uint16)."""
+
     def run(batches):
         sub = Subwords(path)
-        total = np.zeros(sub.n_ids, np.int64)
         for batch in batches:
-            n = batch.column(1).to_numpy()
-            ids = [sub.ids(w) for w in batch.column(0).to_pylist()]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(size.sum()))
-            total += np.bincount(flat, np.repeat(n, size), sub.n_ids).astype(np.int64)
+            ids = [sub.packed(w) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["word", "c", "ids"])
+
+    return run
+
+
+def _subword_batches(n_ids: int):
+    def run(batches):
+        total = np.zeros(n_ids, np.int64)
+        for batch in batches:
+            ids = batch.column(1).to_pylist()
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+            total += np.bincount(np.frombuffer(b"".join(ids), "<u2"), np.repeat(batch.column(0).to_numpy(), size), n_ids).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
@@ -422,10 +433,11 @@ def fit(docs: DataFrame, path: str | None = None) -> Scorer:
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     d = d.where(crc_mod("doc_id", FOLDS) != HELD_OUT)
-    counts = staged(d.select("text").mapInArrow(_word_batches, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "lm-words")
+    counts = d.select("text").mapInArrow(_word_batches, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
+    counts = staged(counts.mapInArrow(_id_batches(path), "word binary, c long, ids binary"), "lm-words")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n_ids = Subwords(path).n_ids
-    vocabulary = Vocabulary(_dense(counts.mapInArrow(_subword_batches(path), "id long, n long"), "id", n_ids))
+    vocabulary = Vocabulary(_dense(counts.select("c", "ids").mapInArrow(_subword_batches(n_ids), "id long, n long"), "id", n_ids))
     found = staged(d.mapInArrow(_pair_batches(path, vocabulary.entry), "code long, n long, window binary"), "lm-pairs")
     model = Model(vocabulary.unigram, _dense(found.where("code is not null").select("code", "n"), "code", VOCAB * VOCAB))
     windows = found.where("window is not null").select("window")
@@ -456,15 +468,15 @@ def _block_words(batches):
             yield pa.RecordBatch.from_arrays([pa.array([b] * len(part), pa.int32()), pa.array(part, pa.binary())], names=["block", "word"])
 
 
-def score_texts(texts: list[bytes], words: list[bytes], c: np.ndarray, scorer: Scorer):
-    """(n_tokens, n_known, base, score) of texts whose words, and the end, are in ``words`` with counts ``c``."""
+def score_texts(texts: list[bytes], words: list[bytes], c: np.ndarray, ids: list[bytes | None], scorer: Scorer):
+    """(n_tokens, n_known, base, score) of texts whose words, and the end, are in ``words`` with counts ``c`` and, if known, ids."""
     n, v, model, vocabulary = scorer.n, scorer.v, scorer.model, scorer.vocabulary
     sub = Subwords(scorer.path)
     index = {w: k for k, w in enumerate(words)}
     base = np.log10((c + 1.0) / (n + v + 1.0))
-    ids = [sub.ids(w) for w in words]
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(size.sum()))
+    ids = [sub.packed(w) if i is None else i for w, i in zip(words, ids)]
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+    flat = np.frombuffer(b"".join(ids), "<u2")
     start = np.r_[0, np.cumsum(size)[:-1]]
     extra = np.add.reduceat(vocabulary.within[flat], start)
     flat = vocabulary.entry[flat]
@@ -514,7 +526,7 @@ def _score_block(scorer_parts):
     def run(_, docs: pa.Table, words: pa.Table) -> pa.Table:
         texts = text_bytes(docs.column("text").combine_chunks()) if docs.num_rows else []
         c = words.column("c").to_numpy() if words.num_rows else np.zeros(0)
-        res = score_texts(texts, words.column("word").to_pylist(), c, scorer) if texts else [np.zeros(0, t) for t in (np.int64, np.int64, float, float)]
+        res = score_texts(texts, words.column("word").to_pylist(), c, words.column("ids").to_pylist(), scorer) if texts else [np.zeros(0, t) for t in (np.int64, np.int64, float, float)]
         return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": res[0], "n_known": res[1], "base_score": res[2], "score": res[3]})
 
     return run
@@ -527,7 +539,7 @@ def scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
     blocks = max(1, -(-size // BLOCK_BYTES))
     d = d.withColumn("block", F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
     words = d.select("block", "text").mapInArrow(_block_words, "block int, word binary")
-    words = words.join(scorer.counts, "word", "left").select("block", "word", F.coalesce("c", F.lit(0)).alias("c"))
+    words = words.join(scorer.counts, "word", "left").select("block", "word", F.coalesce("c", F.lit(0)).alias("c"), "ids")
     parts = (scorer.path, scorer.vocabulary, scorer.model, None, scorer.n, scorer.v)
     out = d.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_score_block(parts), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     held_out = F.coalesce(crc_mod("doc_id", FOLDS) == HELD_OUT, F.lit(False))
