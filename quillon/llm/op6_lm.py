@@ -57,7 +57,7 @@ TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, RATE = 128, 3, 1, 128, 0.01
 PRIOR, DISCOUNT, CONTEXT = 20.0, 0.75, 0.6
 BLOCK_BYTES = 16_000_000
 END = b"\n"  # no word holds it
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 
 class Subwords:
@@ -109,7 +109,7 @@ def _word_batches(batches):
         for t in texts:
             counts.update(_words(t))
         counts[END] += len(texts)
-        if len(counts) > 300_000:
+        if len(counts) > CACHE_WORDS:
             yield flush()
             counts.clear()
     yield flush()
@@ -456,10 +456,10 @@ def fit(docs: DataFrame, path: str | None = None) -> Scorer:
 
 
 def _block_words(batches):
-    """Distinct words of each block."""
+    """Distinct words of each block, from (doc_id, text, block)."""
     seen: dict[int, set] = defaultdict(set)
     for batch in batches:
-        for b, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+        for t, b in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist()):
             seen[b].update(_words(t))
     for b, words in seen.items():
         words = [*words, END]
@@ -537,8 +537,11 @@ def scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    d = d.withColumn("block", F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    words = d.select("block", "text").mapInArrow(_block_words, "block int, word binary")
+    d = d.withColumn("block", F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(blocks)).cast("int"))
+    # as many partitions as a join makes at least, so that the words below come to the texts and not both to a third place
+    d = d.repartition(max(blocks, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block")
+    # the same rows and columns as below, so that texts are dealt once
+    words = d.mapInArrow(_block_words, "block int, word binary")
     words = words.join(scorer.counts, "word", "left").select("block", "word", F.coalesce("c", F.lit(0)).alias("c"), "ids")
     parts = (scorer.path, scorer.vocabulary, scorer.model, None, scorer.n, scorer.v)
     out = d.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_score_block(parts), "doc_id long, n_tokens long, n_known long, base_score double, score double")
