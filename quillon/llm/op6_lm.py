@@ -52,12 +52,12 @@ from pyspark.sql import functions as F
 from quillon.llm.common import crc_mod, staged, table, text_bytes
 
 FOLDS, HELD_OUT = 7, 2
-VOCAB, CLASSES, DIM, WINDOW, STEP = 1024, 32, 16, 24, 16
+VOCAB, CLASSES, DIM, WINDOW, STEP = 512, 32, 16, 24, 16
 TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, RATE = 128, 3, 1, 128, 0.01
 PRIOR, DISCOUNT, CONTEXT = 20.0, 0.75, 0.6
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 20_000_000
 END = b"\n"  # no word holds it
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 
 class Subwords:
@@ -221,6 +221,29 @@ def windows_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys, y.reshape(n, STEP)
 
 
+def windows_of_texts(tokens: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of many texts at once: ``tokens`` holds their entries (with the end), ``m`` how many each has.
+
+    (keys, targets, place of each token among the flat targets)
+    """
+    n_win = -(-m // STEP)
+    first = np.cumsum(m) - m
+    wide = WINDOW - STEP + n_win * STEP
+    u_at = np.cumsum(wide) - wide
+    y_at = (np.cumsum(n_win) - n_win) * STEP
+    inside = np.arange(len(tokens)) - np.repeat(first, m)
+    u = np.full(int(wide.sum()), VOCAB)
+    place = np.repeat(u_at + WINDOW - STEP, m) + inside
+    u[place] = np.r_[0, tokens[:-1]]
+    u[u_at + WINDOW - STEP] = 0
+    at_target = np.repeat(y_at, m) + inside
+    y = np.full(int(n_win.sum()) * STEP, VOCAB)
+    y[at_target] = tokens
+    win = np.arange(int(n_win.sum())) - np.repeat(np.cumsum(n_win) - n_win, n_win)
+    begin = np.repeat(u_at, n_win) + win * STEP
+    return u[begin[:, None] + np.arange(WINDOW)], y.reshape(-1, STEP), at_target
+
+
 def window_at(x: bytes, k: int) -> bytes:
     """Window k of ``windows_of``, keys and targets as uint16."""
     pad = VOCAB.to_bytes(4, "little")
@@ -306,7 +329,7 @@ class Model:
         z -= np.log(e.sum(-1, keepdims=True))
         return own, s, h, z
 
-    def log_prob(self, keys: np.ndarray, target: np.ndarray, at_once: int = 256) -> np.ndarray:
+    def log_prob(self, keys: np.ndarray, target: np.ndarray, at_once: int = 128) -> np.ndarray:
         """Natural log probability of each target entry (0 where padded), flat.
 
         The same numbers as ``forward`` gives, with fewer passes: sums of exponentials are
@@ -485,38 +508,33 @@ def score_texts(texts: list[bytes], words: list[bytes], c: np.ndarray, ids: list
     # what discounting takes from the words goes to the subword model
     back = np.log(CONTEXT + (1 - CONTEXT) * (DISCOUNT * v / n if n else 1.0))
     out = [np.zeros(len(texts), t) for t in (np.int64, np.int64, float, float)]
-    end = index[END]
-
-    def run(lo: int, docs: list[np.ndarray]):
-        keys, targets, lengths = [], [], []
-        for w in docs:
-            count = size[w]
-            total = int(count.sum())
-            at = np.repeat(start[w] - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(total)
-            k, y = windows_of(np.r_[0, flat[at]])
-            keys.append(k)
-            targets.append(y)
-            lengths.append(total)
-        lp = model.log_prob(np.concatenate(keys), np.concatenate(targets)).astype(float)
-        at = 0
-        for k, (w, y, total) in enumerate(zip(docs, targets, lengths)):
-            own = lp[at : at + total]
-            at += y.size
-            per_word = np.add.reduceat(own, np.r_[0, np.cumsum(size[w])[:-1]]) + extra[w]
-            out[0][lo + k], out[1][lo + k] = len(w), (c[w] > 0).sum()
-            out[2][lo + k] = base[w].sum()
-            out[3][lo + k] = np.logaddexp(back + per_word, plain[w]).sum() / np.log(10)
-
-    held, tokens, lo = [], 0, 0
+
+    def run(lo: int, held: list[bytes], n_words: list[int]):
+        w = np.fromiter(map(index.__getitem__, held), np.int64, len(held))
+        at_doc = np.r_[0, np.cumsum(n_words)[:-1]]
+        count = size[w]
+        at_word = np.r_[0, np.cumsum(count)[:-1]]
+        tokens = flat[np.repeat(start[w] - at_word, count) + np.arange(int(count.sum()))]
+        m = np.add.reduceat(count, at_doc)  # subwords by text
+        keys, targets, at_target = windows_of_texts(tokens, m)
+        own = model.log_prob(keys, targets)[at_target].astype(float)
+        per_word = np.add.reduceat(own, at_word) + extra[w]
+        part = slice(lo, lo + len(n_words))
+        out[0][part], out[1][part] = n_words, np.add.reduceat((c[w] > 0).astype(np.int64), at_doc)
+        out[2][part] = np.add.reduceat(base[w], at_doc)
+        out[3][part] = np.add.reduceat(np.logaddexp(back + per_word, plain[w]), at_doc) / np.log(10)
+
+    held, n_words, lo = [], [], 0
     for k, t in enumerate(texts):
-        w = np.fromiter(map(index.__getitem__, _words(t)), np.int64)
-        held.append(np.r_[w, end])
-        tokens += len(held[-1])
-        if tokens > 100_000:
-            run(lo, held)
-            held, tokens, lo = [], 0, k + 1
+        words_ = _words(t)
+        held += words_
+        held.append(END)
+        n_words.append(len(words_) + 1)
+        if len(held) > 50_000:
+            run(lo, held, n_words)
+            held, n_words, lo = [], [], k + 1
     if held:
-        run(lo, held)
+        run(lo, held, n_words)
     return out
 
 
