@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from quillon.llm.common import crc_mod, staged, table, text_bytes
 
 FOLDS, HELD_OUT = 7, 2
-VOCAB, CLASSES, DIM, WINDOW, STEP = 512, 32, 16, 24, 16
+VOCAB, CLASSES, DIM, WINDOW, STEP = 1024, 32, 16, 24, 16
 TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, RATE = 128, 3, 1, 128, 0.01
 PRIOR, DISCOUNT, CONTEXT = 20.0, 0.75, 0.6
 BLOCK_BYTES = 20_000_000
@@ -76,43 +76,103 @@ class Subwords:
         return np.array(self.ids(word), "<u2").tobytes()
 
 
-class Entries(dict):
-    """word -> little-endian int32 entries of its subword ids in the vocabulary."""
+def _words(text: bytes) -> list[bytes]:
+    return text.lower().split()
+
+
+# ---- counts over the corpus
+
 
-    def __init__(self, path: str, entry: np.ndarray):
+class Packed(dict):
+    """word -> subword ids as uint16."""
+
+    def __init__(self, path: str):
         super().__init__()
         self.sub = Subwords(path)
-        self.parts = [e.tobytes() for e in entry.astype("<i4")]
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[word] = out = b"".join([self.parts[i] for i in self.sub.ids(word)])
+        self[word] = out = self.sub.packed(word)
         return out
 
 
-def _words(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def _counted(codes: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and how often they occur."""
+    if n is not None:
+        order = np.argsort(codes, kind="stable")
+        codes, n = codes[order], n[order]
+    else:
+        codes = np.sort(codes)
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[first], np.diff(np.r_[first, len(codes)]) if n is None else np.add.reduceat(n, first)
 
 
-# ---- counts over the corpus
+def _corpus_batches(path: str):
+    """Of all texts: word counts, counts of subword pairs (the end stands before, between and after texts), and every TRAIN_EVERY-th window."""
 
+    def rows(words=(), codes=(), n=(), windows=()):
+        k, w = len(words) + len(codes), len(windows)
+        cols = [
+            pa.array([*words, *[None] * len(codes), *windows], pa.binary()),
+            pa.array(np.r_[np.zeros(len(words), np.int64), np.asarray(codes, np.int64), np.zeros(w, np.int64)], mask=np.r_[np.ones(len(words), bool), np.zeros(len(codes), bool), np.ones(w, bool)]),
+            pa.array([*n, *[None] * w], pa.int64()),
+        ]
+        assert len(cols[2]) == k + w
+        return pa.RecordBatch.from_arrays(cols, names=["word", "code", "n"])
 
-def _word_batches(batches):
-    counts: Counter = Counter()
+    def run(batches):
+        packed, words, codes, held = Packed(path), Counter(), [], []
+        n_ids, end = packed.sub.n_ids, packed.sub.n_ids - 1
+        docs: list = []
+
+        def count():
+            words.update(held)
+            x = np.frombuffer(packed[END] + b"".join(map(packed.__getitem__, held)), "<u2")
+            codes.append(_counted(x[:-1].astype(np.uint32) * np.uint32(n_ids) + x[1:]))
+            if len(codes) > 20:
+                codes[:] = [_counted(*map(np.concatenate, zip(*codes)))]
+            windows, at = [], np.flatnonzero(x == end)
+            for d, lo, hi in zip(docs, at[:-1].tolist(), at[1:].tolist()):
+                first = -crc32(str(d).encode()) % TRAIN_EVERY
+                windows += [window_at(x[lo : hi + 1], k) for k in range(first, -(-(hi - lo) // STEP), TRAIN_EVERY)]
+            held.clear()
+            docs.clear()
+            return windows
 
-    def flush():
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        for batch in batches:
+            windows = []
+            for d, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+                held += _words(t)
+                held.append(END)
+                docs.append(d)
+                if len(held) > 500_000:
+                    windows += count()
+            if held:
+                windows += count()
+            if windows:
+                yield rows(windows=windows)
+            if len(words) > 300_000:
+                yield rows(words=list(words), n=list(words.values()))
+                words.clear()
+        yield rows(words=list(words), n=list(words.values()))
+        if codes:
+            code, n = _counted(*map(np.concatenate, zip(*codes)))
+            yield rows(codes=code, n=n)
 
-    for batch in batches:
-        texts = text_bytes(batch.column(0))
-        for t in texts:
-            counts.update(_words(t))
-        counts[END] += len(texts)
-        if len(counts) > CACHE_WORDS:
-            yield flush()
-            counts.clear()
-    yield flush()
+    return run
+
+
+def _entry_batches(entry: np.ndarray):
+    """Pairs of subword ids to pairs of entries."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = np.divmod(batch.column(0).to_numpy(), len(entry))
+            code, n = _counted(entry[a].astype(np.int64) * VOCAB + entry[b], batch.column(1).to_numpy()) if len(a) else (a, a)
+            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["code", "n"])
+
+    return run
 
 
 def _id_batches(path: str):
@@ -158,51 +218,6 @@ class Vocabulary:
         self.unigram /= self.unigram.sum()
 
 
-def _pair_batches(path: str, entry: np.ndarray):
-    """Pairs of entries that follow each other, and every TRAIN_EVERY-th window."""
-
-    def run(batches):
-        entries = Entries(path, entry)
-        end = entries[END]
-        total = np.zeros(VOCAB * VOCAB, np.int64)
-        for batch in batches:
-            windows, held, size = [], [], 0
-
-            def count():
-                nonlocal total
-                x = np.frombuffer(b"".join(held), "<i4")
-                ends = np.cumsum([len(h) // 4 for h in held])[:-1]
-                code = x[:-1].astype(np.int64) * VOCAB + x[1:]
-                code[ends - 1] = code[0]  # pairs across texts: counted as the first pair, and taken off again
-                total += np.bincount(code, minlength=VOCAB * VOCAB)
-                total[code[0]] -= len(ends)
-
-            for d, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-                x = b"".join([end, *map(entries.__getitem__, _words(t)), end])
-                held.append(x)
-                size += len(x)
-                first = -crc32(str(d).encode()) % TRAIN_EVERY
-                for k in range(first, -(-(len(x) // 4 - 1) // STEP), TRAIN_EVERY):
-                    windows.append(window_at(x, k))
-                if size > 4_000_000:
-                    count()
-                    held, size = [], 0
-            if held:
-                count()
-            if windows:
-                yield _pair_rows([], [], windows)
-        at = np.flatnonzero(total)
-        yield _pair_rows(at, total[at], [])
-
-    return run
-
-
-def _pair_rows(code, n, windows) -> pa.RecordBatch:
-    k = len(windows)
-    cols = [pa.array([*code, *[None] * k], pa.int64()), pa.array([*n, *[None] * k], pa.int64()), pa.array([*[None] * len(code), *windows], pa.binary())]
-    return pa.RecordBatch.from_arrays(cols, names=["code", "n", "window"])
-
-
 # ---- the model
 
 
@@ -244,15 +259,18 @@ def windows_of_texts(tokens: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.
     return u[begin[:, None] + np.arange(WINDOW)], y.reshape(-1, STEP), at_target
 
 
-def window_at(x: bytes, k: int) -> bytes:
-    """Window k of ``windows_of``, keys and targets as uint16."""
-    pad = VOCAB.to_bytes(4, "little")
+PAD = 65535  # stands for no subword in windows of ids
+
+
+def window_at(x: np.ndarray, k: int) -> bytes:
+    """Window k of ``windows_of``, keys and targets, of subword ids as uint16."""
     lo, hi = k * STEP - (WINDOW - STEP), (k + 1) * STEP
-    last = len(x) // 4 - 1  # the last entry is no key
-    keys = pad * max(0, -lo) + x[4 * max(0, lo) : 4 * min(hi, last)]
-    target = x[4 * (k * STEP + 1) : 4 * (hi + 1)]
-    w = keys + pad * (WINDOW - len(keys) // 4) + target + pad * (STEP - len(target) // 4)
-    return np.frombuffer(w, "<i4").astype("<u2").tobytes()
+    out = np.full(WINDOW + STEP, PAD, "<u2")
+    keys = x[max(0, lo) : min(hi, len(x) - 1)]  # the last is no key
+    out[max(0, -lo) : max(0, -lo) + len(keys)] = keys
+    target = x[k * STEP + 1 : hi + 1]
+    out[WINDOW : WINDOW + len(target)] = target
+    return out.tobytes()
 
 
 _LAG = (np.arange(STEP)[:, None] + WINDOW - STEP) - np.arange(WINDOW)[None, :]
@@ -342,29 +360,34 @@ class Model:
         most = np.linalg.norm(q, axis=1).max() * np.linalg.norm(k, axis=1).max() + mask.max()
         small = most < 80 and np.abs(self.params["out"]).sum(0).max() + prior.max() < 80
         safe, out = np.minimum(target, VOCAB - 1), []
+        kt, tail = np.ascontiguousarray(k), WINDOW - STEP
+        log_in = self.log_in.ravel()
         for lo in range(0, len(keys), at_once):
             part = keys[lo : lo + at_once]
-            own = part[:, WINDOW - STEP :]
-            s = q[own] @ k[part].transpose(0, 2, 1)
+            own = np.ascontiguousarray(part[:, tail:])
+            s = np.take(q, own, axis=0) @ np.take(kt, part, axis=0).transpose(0, 2, 1)
             s += mask
             first = np.flatnonzero(part[:, 0] == VOCAB)
             s[first] += pad[part[first]][:, None, :]
             if not small:
                 s -= s.max(-1, keepdims=True)
             np.exp(s, out=s)
-            mixed = s @ v[part]
+            mixed = s @ np.take(v, part, axis=0)
             mixed /= s.sum(-1, keepdims=True)
-            mixed += emb[own]
+            mixed += np.take(emb, own, axis=0)
             np.tanh(mixed, out=mixed)
             z = mixed.reshape(-1, DIM) @ self.params["out"]
-            z += prior[own.ravel()]
+            own = own.ravel()
+            z += np.take(prior, own, axis=0)
             if not small:
                 z -= z.max(-1, keepdims=True)
             y = safe[lo : lo + at_once].ravel()
-            of = z[np.arange(len(y)), self.cls[y]]
+            of = np.take(z.ravel(), np.arange(0, z.size, CLASSES) + np.take(self.cls, y))
             np.exp(z, out=z)
-            lp = of - np.log(z.sum(-1)) + self.log_in[np.minimum(own.ravel(), VOCAB - 1), y]
-            out.append(np.where(target[lo : lo + at_once].ravel() < VOCAB, lp, 0))
+            of -= np.log(z.sum(-1))
+            of += np.take(log_in, np.minimum(own, VOCAB - 1) * VOCAB + y)
+            of[target[lo : lo + at_once].ravel() == VOCAB] = 0
+            out.append(of)
         return np.concatenate(out) if out else np.zeros(0)
 
     def gradient(self, keys: np.ndarray, target: np.ndarray) -> dict:
@@ -411,12 +434,14 @@ class Model:
                     self.params[k] = self.params[k] - np.float32(RATE) * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
 
 
-def _unpack(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    x = np.frombuffer(b"".join(rows), "<u2").reshape(-1, WINDOW + STEP).astype(np.int64)
+def _unpack(rows: list[bytes], entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    entries = np.full(PAD + 1, VOCAB)
+    entries[: len(entry)] = entry
+    x = entries[np.frombuffer(b"".join(rows), "<u2")].reshape(-1, WINDOW + STEP)
     return x[:, :WINDOW], x[:, WINDOW:]
 
 
-def _train_batches(model: Model):
+def _train_batches(model: Model, entry: np.ndarray):
     """Local training on the windows of a task, in parts of bounded size; weighted sums of the weights."""
 
     def run(batches):
@@ -427,7 +452,7 @@ def _train_batches(model: Model):
                 own = Model.__new__(Model)
                 own.__dict__.update(model.__dict__)
                 own.params = dict(model.params)
-                own.train(*_unpack(rows))
+                own.train(*_unpack(rows, entry))
                 total += own.vector().astype(float) * len(rows)
                 n += len(rows)
         if n:
@@ -445,10 +470,10 @@ def _dense(df: DataFrame, key: str, size: int) -> np.ndarray:
 
 
 class Scorer:
-    """A trained model, its vocabulary, and where the word counts are."""
+    """A trained model, its vocabulary, where the word counts are, their sum and number, and the mean bytes of a text."""
 
-    def __init__(self, path: str, vocabulary: Vocabulary, model: Model, counts: DataFrame, n: int, v: int):
-        self.path, self.vocabulary, self.model, self.counts, self.n, self.v = path, vocabulary, model, counts, n, v
+    def __init__(self, path: str, vocabulary: Vocabulary, model: Model, counts: DataFrame, n: int, v: int, row_bytes: int = 4000):
+        self.path, self.vocabulary, self.model, self.counts, self.n, self.v, self.row_bytes = path, vocabulary, model, counts, n, v, row_bytes
 
 
 def fit(docs: DataFrame, path: str | None = None) -> Scorer:
@@ -456,23 +481,25 @@ def fit(docs: DataFrame, path: str | None = None) -> Scorer:
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     d = d.where(crc_mod("doc_id", FOLDS) != HELD_OUT)
-    counts = d.select("text").mapInArrow(_word_batches, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
+    found = staged(d.mapInArrow(_corpus_batches(path), "word binary, code long, n long"), "lm-corpus")
+    counts = found.where("code is null and n is not null").groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
     counts = staged(counts.mapInArrow(_id_batches(path), "word binary, c long, ids binary"), "lm-words")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    n, v, size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.col("c") * (F.octet_length("word") + 1)), F.lit(0))).first()
+    n_docs = counts.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     n_ids = Subwords(path).n_ids
     vocabulary = Vocabulary(_dense(counts.select("c", "ids").mapInArrow(_subword_batches(n_ids), "id long, n long"), "id", n_ids))
-    found = staged(d.mapInArrow(_pair_batches(path, vocabulary.entry), "code long, n long, window binary"), "lm-pairs")
-    model = Model(vocabulary.unigram, _dense(found.where("code is not null").select("code", "n"), "code", VOCAB * VOCAB))
-    windows = found.where("window is not null").select("window")
+    pairs = found.where("code is not null").select("code", "n").mapInArrow(_entry_batches(vocabulary.entry), "code long, n long")
+    model = Model(vocabulary.unigram, _dense(pairs, "code", VOCAB * VOCAB))
+    windows = found.where("n is null").select(F.col("word").alias("window"))
     for _ in range(ROUNDS):
-        sums = windows.mapInArrow(_train_batches(model), "i int, v double, n long")
+        sums = windows.mapInArrow(_train_batches(model, vocabulary.entry), "i int, v double, n long")
         mean = sums.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toArrow()
         if not mean.num_rows:
             break
         weights = np.zeros(mean.num_rows)
         weights[mean.column("i").to_numpy()] = mean.column("v").to_numpy()
         model.load(weights)
-    return Scorer(path, vocabulary, model, counts, n, v)
+    return Scorer(path, vocabulary, model, counts, n, v, max(1, size // max(1, n_docs)))
 
 
 # ---- scoring
@@ -553,8 +580,7 @@ def _score_block(scorer_parts):
 def scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
+    blocks = max(1, -(-d.count() * scorer.row_bytes // BLOCK_BYTES))
     d = d.withColumn("block", F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(blocks)).cast("int"))
     # as many partitions as a join makes at least, so that the words below come to the texts and not both to a third place
     d = d.repartition(max(blocks, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block")
