@@ -39,6 +39,7 @@ table: no rows. Other columns are not looked at.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections import Counter, defaultdict
 from zlib import crc32
 
@@ -52,12 +53,12 @@ from pyspark.sql import functions as F
 from quillon.llm.common import crc_mod, staged, table, text_bytes
 
 FOLDS, HELD_OUT = 7, 2
-VOCAB, CLASSES, DIM, WINDOW, STEP = 1024, 32, 16, 24, 16
+VOCAB, CLASSES, DIM, WINDOW, STEP = 1024, 24, 16, 20, 16
 TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, RATE = 128, 3, 1, 128, 0.01
 PRIOR, DISCOUNT, CONTEXT = 20.0, 0.75, 0.6
 BLOCK_BYTES = 20_000_000
 END = b"\n"  # no word holds it
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 
 
 class Subwords:
@@ -73,7 +74,7 @@ class Subwords:
         return [self.n_ids - 1] if word == END else self.encoding.encode_ordinary(" " + word.decode())
 
     def packed(self, word: bytes) -> bytes:
-        return np.array(self.ids(word), "<u2").tobytes()
+        return array("H", self.ids(word)).tobytes()
 
 
 def _words(text: bytes) -> list[bytes]:
