@@ -104,12 +104,18 @@ def _parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
 def _inflate(data: memoryview, at: int) -> tuple[bytes, int, str]:
     """(content, end, fault) of the gzip member at ``at``; with a fault, what came before it."""
     d, out, pos = zlib.decompressobj(31), [], at
-    try:
-        while not d.eof and pos < len(data):
+    while not d.eof and pos < len(data):
+        before = d.copy()
+        try:
             out.append(d.decompress(data[pos : pos + _STEP]))
-            pos += _STEP
-    except zlib.error as e:
-        return b"".join(out), at, f"gzip: {str(e)[:60]}"
+        except zlib.error as e:
+            try:  # what the bytes before the damage give
+                for k in range(pos, pos + _STEP, 64):
+                    out.append(before.decompress(data[k : k + 64]))
+            except zlib.error:
+                pass
+            return b"".join(out), at, f"gzip: {str(e)[:60]}"
+        pos += _STEP
     if not d.eof:
         return b"".join(out), at, "gzip: cut off"
     return b"".join(out), min(pos, len(data)) - len(d.unused_data), ""
