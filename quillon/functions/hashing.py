@@ -2,9 +2,10 @@
 
 ``randomSplit`` depends on partitioning (the same seed gives other rows when the
 input has another number of partitions), so every split in the library is a
-pure function of row keys. The hash is plain integer arithmetic, so the same
-number comes out of Spark and of any SQL engine, and it never overflows a
-signed 64-bit integer for any key.
+pure function of row keys. The hash mixes all bits (the first 32 bits of an MD5
+over a salt and the keys), so neighbouring keys are unrelated and the same number
+comes out of Spark and of any SQL engine. Each use has a salt of its own: the rows
+that a split chose are no special rows to the folds made of them.
 """
 
 from __future__ import annotations
@@ -12,34 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the portable hash (multiplicative hashing mod 2^32).
-HASH_MULT_KEY = 2654435761
-HASH_MULT_OTHER = 40503
-KEY_MOD = 2147483648  # keys are first reduced mod 2^31 so key * 2654435761 < 2^63
 HASH_MOD = 4294967296  # result range [0, 2^32)
+SPLIT, FOLD, HOLDOUT, NOISE = "split", "fold", "holdout", "noise"  # salts
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def portable_hash(key, other=None) -> Column:
-    """h(key, other) = (pmod(key, 2^31) * 2654435761 + pmod(other, 2^31) * 40503) mod 2^32."""
-    k = F.pmod(_c(key).cast("bigint"), F.lit(KEY_MOD)) * F.lit(HASH_MULT_KEY)
+def portable_hash(key, other=None, salt: str = SPLIT) -> Column:
+    """First 8 hex digits of md5('salt|key' or 'salt|key|other') as a number; null if a key is null."""
+    parts = [F.lit(salt + "|"), _c(key).cast("string")]
     if other is not None:
-        k = k + F.pmod(_c(other).cast("bigint"), F.lit(KEY_MOD)) * F.lit(HASH_MULT_OTHER)
-    return F.pmod(k, F.lit(HASH_MOD))
-
-
-def portable_hash_sql(key: str, other: str | None = None) -> str:
-    """The same hash as SQL text (DuckDB / ANSI); used by the oracle queries."""
-    def pm(x: str, m: int) -> str:
-        return f"((({x}) % {m} + {m}) % {m})"
-
-    k = f"{pm(f'CAST({key} AS BIGINT)', KEY_MOD)} * {HASH_MULT_KEY}"
-    if other is not None:
-        k = f"{k} + {pm(f'CAST({other} AS BIGINT)', KEY_MOD)} * {HASH_MULT_OTHER}"
-    return pm(k, HASH_MOD)
+        parts += [F.lit("|"), _c(other).cast("string")]
+    digest = F.md5(F.concat(*parts).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
 def fraction_below(h: Column, numerator: int, denominator: int) -> Column:

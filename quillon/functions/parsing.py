@@ -23,6 +23,11 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _strip(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def slice_text(value, start: int, end: int) -> Column:
     """Python-style ``line[start:end]`` (0-based, half-open) as a Spark substring."""
     return F.substring(_c(value), start + 1, end - start)
@@ -30,19 +35,19 @@ def slice_text(value, start: int, end: int) -> Column:
 
 def parse_int(text) -> Column:
     """``int(text.strip())`` or null when it would raise (or not fit in 32 bits)."""
-    t = F.trim(_c(text))
+    t = _strip(_c(text))
     return F.when(t.rlike(INT_PATTERN), t.try_cast("int"))
 
 
 def parse_double(text) -> Column:
     """``float(text.strip())`` for decimal and non-finite words, else null."""
-    t = F.trim(_c(text))
+    t = _strip(_c(text))
     return F.when(t.rlike(DECIMAL_PATTERN) | t.rlike(NON_FINITE_PATTERN), t.try_cast("double"))
 
 
 def parse_scaled(text, scale: float, missing: Iterable[str]) -> Column:
     """Trimmed text; a missing code gives null, otherwise the number divided by ``scale``."""
-    t = F.trim(_c(text))
+    t = _strip(_c(text))
     missing = list(missing)
     value = parse_double(t) / F.lit(float(scale))
     return F.when(t.isin(missing), F.lit(None).cast("double")).otherwise(value) if missing else value

@@ -32,7 +32,3 @@ def active_keys(ratings: DataFrame, threshold: int, key: str = "user_id", by: st
 def keep_keys(ratings: DataFrame, keys: DataFrame, key: str = "user_id", max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Left-semi join: rows whose key is in ``keys`` (broadcast only if counted small)."""
     return ratings.join(checked_broadcast(keys, max_broadcast_rows), key, "left_semi")
-
-
-def distinct_count(df: DataFrame, col: str, alias: str) -> DataFrame:
-    return df.agg(F.count_distinct(col).alias(alias))

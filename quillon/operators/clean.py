@@ -1,4 +1,4 @@
-"""Cleaning filters and flags.
+"""Cleaning filters (F1, F2).
 
 Plain predicates and projections; Catalyst merges them and pushes them into
 the scan (``PushedFilters`` on parquet and CSV).
@@ -23,19 +23,3 @@ def not_null(df: DataFrame, *cols: str) -> DataFrame:
 def label_filter(df: DataFrame, label: str, allowed: Sequence[str]) -> DataFrame:
     """F1 + F2: label present and in the allowed set (``isin`` already excludes null)."""
     return df.filter(F.col(label).isin(list(allowed)))
-
-
-def year_range(df: DataFrame, col: str, lo: int, hi: int) -> DataFrame:
-    """inclusive range."""
-    return df.filter(F.col(col).between(lo, hi))
-
-
-def as_double_pairs(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """(prediction, label) as doubles."""
-    return df.select(F.col(prediction).cast("double").alias("prediction"), F.col(label).cast("double").alias("label"))
-
-
-def membership_flag(df: DataFrame, members: DataFrame, keys: Sequence[str], out: str = "label") -> DataFrame:
-    """1.0 when the row's keys appear in ``members`` else 0.0 (left join on distinct members)."""
-    m = members.select(*keys).distinct().withColumn("_hit", F.lit(1.0))
-    return df.join(m, list(keys), "left").withColumn(out, F.coalesce(F.col("_hit"), F.lit(0.0))).drop("_hit")

@@ -104,14 +104,6 @@ def exact_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
     return binary_curve_areas(scored, score, label)
 
 
-def mse(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """One row (mse, n)."""
-    d = F.col(label) - F.col(prediction)
-    return pred.agg(F.avg(d * d).alias("mse"), F.count(F.lit(1)).alias("n"))
-
-
-# ---------------------------------------------------------------- top-N lists
-
 def shared_list_user_auc(actual: DataFrame, ranked_list: DataFrame, list_len: int,
                          user: str = "user_id", item: str = "item_id", rank: str = "rank") -> DataFrame:
     """W2 + F9 for one list shared by every user (the popularity baseline).

@@ -77,7 +77,3 @@ def random_forest_regressor(label: str, num_trees: int = 10, seed: int = DEFAULT
         labelCol=label, featuresCol="features", numTrees=num_trees, featureSubsetStrategy="auto",
         impurity="variance", seed=seed, **params,
     )
-
-
-def fit_pipeline(stages: list, train: DataFrame) -> PipelineModel:
-    return Pipeline(stages=stages).fit(train)

@@ -24,18 +24,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.functions.hashing import fold_of, fraction_below, portable_hash
+from quillon.functions.hashing import FOLD, SPLIT, fold_of, fraction_below, portable_hash
 
 BUCKET_SHIFT = 65536  # h // 65536 -> bucket in [0, 65536)
 
 
-def with_row_hash(df: DataFrame, key: str, other: str | None = None, out: str = "h") -> DataFrame:
-    return df.withColumn(out, portable_hash(key, other))
-
-
 def hash_split(df: DataFrame, key: str, other: str | None = None, train_num: int = 4, train_den: int = 5) -> DataFrame:
     """P-1: adds ``part`` = 'train' for a share train_num/train_den of hash space, else 'test'."""
-    h = portable_hash(key, other)
+    h = portable_hash(key, other, SPLIT)
     return df.withColumn("part", F.when(fraction_below(h, train_num, train_den), "train").otherwise("test"))
 
 
@@ -51,7 +47,7 @@ def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[Data
 
 def with_fold(df: DataFrame, key: str, other: str | None = None, k: int = 5, out: str = "fold") -> DataFrame:
     """P-2 / U1: fold id in [0, k); a fold's complement is 'all other folds' (no unions)."""
-    return df.withColumn(out, fold_of(portable_hash(key, other), k))
+    return df.withColumn(out, fold_of(portable_hash(key, other, FOLD), k))
 
 
 def chronological_split(df: DataFrame, year_col: str, train_years: tuple[int, int], val_year: int, test_year: int) -> DataFrame:
@@ -87,7 +83,7 @@ def per_key_split(
     (row identities need not be unique). ``part`` is 'train' when
     rn <= floor(n * train_num / train_den).
     """
-    h = portable_hash(row_a, row_b)
+    h = portable_hash(row_a, row_b, SPLIT)
     rows = df.withColumn("_h", h).withColumn("_b", F.floor(F.col("_h") / BUCKET_SHIFT).cast("int"))
     # stated once here (the join below would infer it on one branch only), so
     # both uses of `ranked` share one shuffle and the input is scanned once

@@ -7,7 +7,6 @@ checks the scalable Spark plans independently. Tables are the driver views.
 
 from __future__ import annotations
 
-from quillon.functions.hashing import portable_hash_sql
 from quillon.sources.standins import (
     ACTIVE_THRESHOLD,
     SEARCH_TERMS,
@@ -16,7 +15,14 @@ from quillon.sources.standins import (
     WEATHER_VAL_YEAR,
 )
 
-ROW_HASH = portable_hash_sql("row_a", "row_b")
+
+def _hash(salt: str, *keys: str) -> str:
+    """The first 32 bits of md5('salt|key|...') as a number, stated here on its own."""
+    text = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return f"CAST('0x' || substr(md5('{salt}|' || {text}), 1, 8) AS BIGINT)"
+
+
+ROW_HASH = _hash("split", "row_a", "row_b")
 
 RECO_CTES = f"""
 ratings AS (
@@ -64,7 +70,7 @@ def _with(body: str) -> str:
 
 
 def recommender_sql() -> dict[str, str]:
-    fold = f"CAST(floor(({ROW_HASH}) * 5 / 4294967296) AS INTEGER)"
+    fold = f"CAST(floor(({_hash('fold', 'row_a', 'row_b')}) * 5 / 4294967296) AS INTEGER)"
     terms = ", ".join(f"('{t}')" for t in SEARCH_TERMS)
     return {
         "interactions_scan": """
@@ -304,7 +310,9 @@ survey AS (
               WHEN ((l.l_orderkey % 13) + 13) % 13 = 0 THEN 'Maybe'
               WHEN l.l_quantity * l.l_discount > CASE WHEN l.l_returnflag = 'R' THEN 1.0 ELSE 1.6 END THEN 'Yes'
               ELSE 'No' END AS label_yn,
-         CAST(CAST(floor((l.l_quantity - 1) / 10) AS INTEGER) AS VARCHAR) AS band
+         CASE WHEN l.l_linenumber = 6 AND l.l_orderkey % 5 = 0 THEN NULL ELSE
+           CAST(CAST(floor((l.l_quantity - 1) / 10) + floor(round(l.l_discount * 100) / 4)
+             + {_hash('noise', 'l.l_orderkey', 'l.l_linenumber')} % 7 AS INTEGER) AS VARCHAR) END AS band
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
 ),
 clean AS (SELECT * FROM survey WHERE label_yn IN ('Yes', 'No')),
@@ -327,7 +335,7 @@ rule AS (
          CASE WHEN l_quantity * l_discount > 1.3 THEN 1.0 ELSE 0.0 END AS prediction,
          l_quantity * l_discount AS score,
          CAST(band AS DOUBLE) AS band,
-         CAST(least(greatest(floor((l_extendedprice / 1450.0 - 1) / 10), 0), 4) AS DOUBLE) AS band_prediction
+         CAST(floor((l_quantity - 1) / 10) + 4 AS DOUBLE) AS band_prediction
   FROM stest
 )
 """
@@ -352,7 +360,7 @@ def _curve_sql(score: str, label: str) -> str:
 
 def _multiclass_sql(pred: str, label: str) -> str:
     return f"""
-, cells AS (SELECT {label} AS y, {pred} AS p, count(*) AS c FROM rule GROUP BY 1, 2)
+, cells AS (SELECT {label} AS y, {pred} AS p, count(*) AS c FROM rule WHERE {label} IS NOT NULL GROUP BY 1, 2)
 , act AS (SELECT y, sum(c) AS n_actual, sum(CASE WHEN y = p THEN c ELSE 0 END) AS tp FROM cells GROUP BY y)
 , prd AS (SELECT p AS y, sum(c) AS n_predicted FROM cells GROUP BY p)
 , per AS (SELECT a.y AS label, a.tp, a.n_actual, COALESCE(pr.n_predicted, 0) AS n_predicted,
@@ -378,6 +386,16 @@ def survey_sql() -> dict[str, str]:
             SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS part, count(*) AS n,
                    count(*) FILTER (WHERE label_yn = 'Yes') AS n_yes
             FROM sp GROUP BY 1""",
+        "fold_balance": f"""{base}
+            SELECT CAST(floor({_hash('fold', 'row_a', 'row_b')} * 5 / 4294967296) AS INTEGER) AS fold, row_b AS line_number,
+                   count(*) AS n FROM strain GROUP BY ALL""",
+        "holdout_balance": f"""{base}
+            SELECT row_b AS line_number, count(*) AS n,
+                   count(*) FILTER (WHERE {_hash('holdout', 'row_a', 'row_b')} * 5 >= 4 * 4294967296) AS n_holdout
+            FROM strain GROUP BY 1""",
+        "band_counts": f"""{base}
+            SELECT band, count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test
+            FROM sp WHERE band IS NOT NULL GROUP BY band""",
         "string_index_levels": f"{base} SELECT \"column\", level, idx, n FROM levels",
         "feature_matrix": f"""{base}
             SELECT s.row_a, s.row_b, CAST(vl.idx AS DOUBLE) AS label,

@@ -195,10 +195,9 @@ def q_name_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ ALS model queries (rows-only)
 
 ALS_PARAMS = {"rank": 10, "max_iter": 10, "reg": 0.01, "alpha": 1.0, "seed": 42}
-# Grid used by the registered query (the reference's full grid is
-# ranks 10/25/50 x lambda 1.0/0.1/0.01 x alpha 1/10/100 with 5 folds; pass it to
-# recommend.grid_search for a full run).
-GRID_RANKS, GRID_REGS, GRID_ALPHAS, GRID_FOLDS = [5, 10], [0.01], [1.0], 2
+# Ranks, lambdas and alphas of the registered query, and the reference's grid (27 points).
+ALS_GRID, GRID_FOLDS = ([5, 10], [0.01], [1.0]), 5
+ALS_REFERENCE_GRID = ([10, 25, 50], [1.0, 0.1, 0.01], [1.0, 10.0, 100.0])
 PROFILE_TOP = 25
 
 
@@ -212,7 +211,7 @@ def _als_parts(spark: SparkSession, sf_dir: str):
     return train, test
 
 
-def _fit_and_recommend(spark: SparkSession, sf_dir: str, n: int = TOP_N):
+def _fit_and_recommend(spark: SparkSession, sf_dir: str, n: int = TOP_N, keep_test: bool = True):
     """Fit on the training part and list the test users' top-n.
 
     The split is cached while it feeds both the fit and the user list; the test
@@ -229,7 +228,7 @@ def _fit_and_recommend(spark: SparkSession, sf_dir: str, n: int = TOP_N):
         recommend.check_int_ids(train)
         model = recommend.fit(train, **ALS_PARAMS)
         recs = S.reliable_checkpoint(recommend.top_n(model, test.select("user_id"), n))
-        test = S.reliable_checkpoint(test)
+        test = S.reliable_checkpoint(test) if keep_test else None
     finally:
         s.unpersist()
     return test, recs
@@ -237,7 +236,7 @@ def _fit_and_recommend(spark: SparkSession, sf_dir: str, n: int = TOP_N):
 
 def q_als_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M12 + J5 + M20: top-50 lists of the test users (seen items included, as the reference)."""
-    _, recs = _fit_and_recommend(spark, sf_dir)
+    _, recs = _fit_and_recommend(spark, sf_dir, keep_test=False)
     return recs.select("user_id", "rank", "item_id", F.round("score", 6).alias("score"))
 
 
@@ -287,14 +286,16 @@ def q_als_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(k, float(v) if v is not None else None) for k, v in rows], "metric string, value double")
 
 
-def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M14 + M17: (rank, reg, alpha) grid scored by mean per-user AUC over hash folds."""
+def q_als_grid(spark: SparkSession, sf_dir: str, axes=ALS_GRID) -> DataFrame:
+    """M14 + M17: (rank, reg, alpha) grid scored by mean per-user AUC over five hash folds.
+
+    Over ``ALS_GRID``; pass ``ALS_REFERENCE_GRID`` for the 27 points of the reference."""
     from quillon.operators import recommend
 
     train, _ = _als_parts(spark, sf_dir)
     folded = split.with_fold(train, "row_a", "row_b", k=GRID_FOLDS).persist()
     try:
-        res = recommend.grid_search(folded, "fold", GRID_FOLDS, GRID_RANKS, GRID_REGS, GRID_ALPHAS, n=TOP_N)
+        res = recommend.grid_search(folded, "fold", GRID_FOLDS, *axes, n=TOP_N)
     finally:
         folded.unpersist()
     best = recommend.pick_best(res)

@@ -47,6 +47,9 @@ def queries() -> dict[str, Query]:
         "weather_job": W.q_weather_job,
         "survey_filtered": V.q_survey_filtered,
         "hash_split_counts": V.q_hash_split_counts,
+        "band_counts": V.q_band_counts,
+        "fold_balance": V.q_fold_balance,
+        "holdout_balance": V.q_holdout_balance,
         "string_index_levels": V.q_string_index_levels,
         "feature_matrix": V.q_feature_matrix,
         "binary_report": V.q_binary_report,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillon import session as S
-from quillon.functions.hashing import fold_of, fraction_below, portable_hash
+from quillon.functions.hashing import FOLD, HOLDOUT, fold_of, fraction_below, portable_hash
 from quillon.operators import clean, features, metrics, models, tune
 from quillon.sources import csv as csvsrc
 from quillon.sources import sinks
@@ -80,6 +80,26 @@ def q_hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_band_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + P-1: rows of each of the 13 levels in train and test, rows without the second label left out."""
+    s = clean.not_null(split_rows(spark, sf_dir), LABEL_BAND)
+    return s.groupBy(F.col(LABEL_BAND).alias("band")).agg(
+        F.count_if(F.col("is_train")).alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test"))
+
+
+def q_fold_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows by fold and line number."""
+    train, _ = _train_test(spark, sf_dir)
+    return _with_tuning_parts(train).groupBy("fold", F.col("row_b").alias("line_number")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_holdout_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows, and those held out of them for validation, by line number."""
+    train, _ = _train_test(spark, sf_dir)
+    return _with_tuning_parts(train).groupBy(F.col("row_b").alias("line_number")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("tvs_train")).alias("n_holdout"))
+
+
 def q_string_index_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 + M2: index of every level of the categorical and label columns (training rows)."""
     train, _ = _train_test(spark, sf_dir)
@@ -101,8 +121,7 @@ def _rule_predictions(spark, sf_dir) -> DataFrame:
         (F.col("l_quantity") * F.col("l_discount") > 1.3).cast("double").alias("prediction"),
         (F.col("l_quantity") * F.col("l_discount")).alias("score"),
         F.col(LABEL_BAND).cast("double").alias("band"),
-        F.least(F.greatest(F.floor((F.col("l_extendedprice") / 1450.0 - 1) / 10), F.lit(0)), F.lit(4))
-        .cast("double").alias("band_prediction"),
+        (F.floor((F.col("l_quantity") - 1) / 10) + 4).cast("double").alias("band_prediction"),
     )
 
 
@@ -114,7 +133,7 @@ def q_binary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_multiclass_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-label precision / recall, accuracy, weighted precision / recall."""
-    r = metrics.multiclass_report(_rule_predictions(spark, sf_dir), "band_prediction", "band")
+    r = metrics.multiclass_report(clean.not_null(_rule_predictions(spark, sf_dir), "band"), "band_prediction", "band")
     return r.select("metric", "label", F.round("value", 6).alias("value"))
 
 
@@ -126,19 +145,35 @@ def q_auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ model queries (rows-only)
 
+# a small grid for the single-split query; the reference's own decision-tree grid has 18 points
 DT_GRID = {"impurity": ["entropy", "gini"], "maxDepth": [4, 6], "maxBins": [32]}
-# the reference's own decision-tree grid (18 points)
 DT_REFERENCE_GRID = {"impurity": ["entropy", "gini"], "maxDepth": [6, 12, 24], "maxBins": [20, 50, 100]}
 RF_GRID = {"numTrees": [5, 10], "maxDepth": [6], "maxBins": [32], "impurity": ["gini", "entropy"]}
-FOLDS = 3
+# the reference's forest grid (54 points): q_rf_cv(spark, sf_dir, RF_REFERENCE_GRID)
+RF_REFERENCE_GRID = {"numTrees": [5, 10, 20], "maxDepth": [6, 12, 24], "maxBins": [20, 50, 100], "impurity": ["gini", "entropy"]}
+FOLDS = 5
+
+
+def _with_tuning_parts(rows: DataFrame) -> DataFrame:
+    """``fold`` and ``tvs_train``, each by a hash with a salt of its own."""
+    rows = rows.withColumn("fold", fold_of(portable_hash("row_a", "row_b", FOLD), FOLDS))
+    return rows.withColumn("tvs_train", fraction_below(portable_hash("row_a", "row_b", HOLDOUT), 4, 5))
 
 
 def _prepared(spark, sf_dir, label_col: str):
     """Feature stages fitted once on train; assembled train / test frames (cached by caller)."""
     train, test = _train_test(spark, sf_dir)
-    prep, train_a = tune.prepare_once(models.feature_pipeline(NUMERIC, CATEGORICAL, label_col), train)
-    h2 = portable_hash("row_b", "row_a")
-    train_a = train_a.withColumn("fold", fold_of(h2, FOLDS)).withColumn("tvs_train", fraction_below(h2, 4, 5))
+    categorical = CATEGORICAL
+    if label_col == LABEL_BAND:  # the second label's job takes the first as a feature and has a not-null filter of its own
+        categorical = [*CATEGORICAL, LABEL_YN]
+        train, test = clean.not_null(train, LABEL_BAND), clean.not_null(test, LABEL_BAND)
+    # the indexers and the grid all read these rows: join and filter them once
+    train = train.persist()
+    try:
+        prep, train_a = tune.prepare_once(models.feature_pipeline(NUMERIC, categorical, label_col), train)
+        train_a = _with_tuning_parts(train_a)
+    finally:
+        train.unpersist()
     cols = ["row_a", "row_b", "features", "label", "fold", "tvs_train"]
     return prep, train_a.select(*cols), prep.transform(test).select("row_a", "row_b", "features", "label")
 
@@ -164,7 +199,7 @@ def _dt_tuned(spark, sf_dir, method: str, grid_axes: dict | None = None, name: s
             best, scores = tune.cross_validate(dt, grid, ev, train_a, "fold", FOLDS)
         else:
             best, scores = tune.train_validation_split(dt, grid, ev, train_a, "tvs_train")
-        pred = best.transform(test_a)
+        pred = best.transform(test_a).select("prediction", "label", "rawPrediction", "probability").persist()
         test_auc = ev.evaluate(pred)
         train_auc = ev.evaluate(best.transform(train_a))
         # a single tree's rawPrediction holds leaf class counts; probability ranks by leaf purity
@@ -193,9 +228,11 @@ def q_dt_tvs_reference_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
-def q_dt_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M6 + M14 + M15 + M18: decision tree tuned by k-fold cross-validation (hash folds)."""
-    rows, _, _ = _dt_tuned(spark, sf_dir, "cv")
+def q_dt_cv(spark: SparkSession, sf_dir: str, grid_axes: dict | None = None) -> DataFrame:
+    """M6 + M14 + M15 + M18: decision tree tuned by 5-fold cross-validation (hash folds).
+
+    Over ``DT_GRID``; pass ``DT_REFERENCE_GRID`` for the 18 points of the reference."""
+    rows, _, _ = _dt_tuned(spark, sf_dir, "cv", grid_axes)
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
@@ -210,13 +247,13 @@ def _gbt_rows(spark, sf_dir):
         train_a.unpersist()
 
 
-def _rf_rows(spark, sf_dir):
+def _rf_rows(spark, sf_dir, grid_axes: dict | None = None):
     prep, train_a, test_a = _prepared(spark, sf_dir, LABEL_BAND)
     train_a = train_a.persist()
     try:
         rf = models.random_forest()
         ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
-        best, _ = tune.cross_validate(rf, tune.grid(rf, **RF_GRID), ev, train_a, "fold", FOLDS)
+        best, _ = tune.cross_validate(rf, tune.grid(rf, **(grid_axes or RF_GRID)), ev, train_a, "fold", FOLDS)
         bp = tune.best_params(best, ["numTrees", "maxDepth", "maxBins", "impurity"])
         rep = metrics.multiclass_report(best.transform(test_a), "prediction", "label")
         # overall rows, then precision / recall of every label (labels in ascending order)
@@ -232,13 +269,15 @@ def _rf_rows(spark, sf_dir):
 
 
 def q_gbt_ovr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7 + M8: boosted trees one-vs-rest on the 5-level band (maxDepth 6, maxIter 10)."""
+    """M7 + M8: boosted trees one-vs-rest on the 13-level band (maxDepth 6, maxIter 10)."""
     return spark.createDataFrame(_gbt_rows(spark, sf_dir), REPORT_SCHEMA)
 
 
-def q_rf_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M9 + M15: random forest tuned by k-fold cross-validation on accuracy."""
-    return spark.createDataFrame(_rf_rows(spark, sf_dir), REPORT_SCHEMA)
+def q_rf_cv(spark: SparkSession, sf_dir: str, grid_axes: dict | None = None) -> DataFrame:
+    """M9 + M15: random forest tuned by 5-fold cross-validation on accuracy.
+
+    Over ``RF_GRID``; pass ``RF_REFERENCE_GRID`` for the 54 points of the reference."""
+    return spark.createDataFrame(_rf_rows(spark, sf_dir, grid_axes), REPORT_SCHEMA)
 
 
 def q_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:

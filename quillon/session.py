@@ -5,12 +5,11 @@ the ``SparkSession``. The two helpers here are for scripts and tests:
 
 * ``local_session`` builds the ``local[N]`` session used by tests and bench.
 * ``checkpoint_dir`` returns the shared folder named in ``spark.checkpoint.dir``
-  (set by the cluster); only when it is unset (tests, laptops) does it set one.
+  (set by the cluster); only a local session without the setting gets one of its own.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -38,17 +37,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
+    """The shared checkpoint folder of the session, as ``spark.checkpoint.dir`` names it.
 
-    Read from ``spark.checkpoint.dir``; set our own (a fresh folder under the
-    system temp dir) only when the setting is absent, as in local tests.
+    Where the setting is absent, a session on one machine (local master, as in tests) gets a
+    folder of its own; anywhere else it is an error, as other machines could not see one.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    path = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not path:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="quillon-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
     return path
 
 
@@ -62,7 +63,3 @@ def reliable_checkpoint(df):
     """Cut lineage by a reliable checkpoint into the shared folder (never a local one)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def env_cpus(default: str = "8") -> str:
-    return os.environ.get("BENCH_CPUS", default)

@@ -8,7 +8,7 @@ is a lazy plan over the parquet scans, so its size grows with the tables.
 * ``event_ratings`` the denser second set: events, item = JSON ``k`` of props
 * ``aliases``      alias -> canonical item (alias_id, canonical_id)
 * ``item_names``   (item_id, name)
-* ``survey``       classification table with a Yes/No label and a 5-level band
+* ``survey``       classification table with a Yes/No label and a 13-level band
 * ``weather_lines`` fixed-width text records (column ``value``)
 * ``profile``      the injected listening profile rows
 """
@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.functions.hashing import NOISE, portable_hash
 from quillon.sources.tables import table
 
 # Fixed values of the stand-ins (FIXTURES.md part B).
@@ -91,7 +92,9 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     Numeric: l_quantity, l_extendedprice, l_discount, l_tax.
     Categorical: l_returnflag, l_linestatus, o_orderstatus, c_mktsegment.
     ``label_yn``: 'Yes' when l_quantity * l_discount exceeds 1.0 (returned) or
-    1.6 (other), else 'No'. ``band``: quantity band '0'..'4' (5 levels).
+    1.6 (other), else 'No'. ``band``: 13 levels '0'..'12', the quantity band plus the
+    discount band plus noise by row key (0..6), so no single column gives it away; null in
+    one of five orders' sixth lines.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -107,7 +110,9 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "o_orderstatus", "c_mktsegment",
         F.when(F.col("l_quantity") * F.col("l_discount") > cut, "Yes").otherwise("No").alias("label_yn"),
-        F.floor((F.col("l_quantity") - 1) / 10).cast("int").cast("string").alias("band"),
+        F.when((F.col("l_linenumber") == 6) & (F.col("l_orderkey") % 5 == 0), F.lit(None).cast("string")).otherwise(
+            (F.floor((F.col("l_quantity") - 1) / 10) + F.floor(F.round(F.col("l_discount") * 100) / 4)
+             + portable_hash("l_orderkey", "l_linenumber", NOISE) % 7).cast("int").cast("string")).alias("band"),
     )
 
 

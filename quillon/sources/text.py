@@ -1,7 +1,7 @@
 """Line-oriented sources: text globs and the delimited record formats.
 
-* ``scan_lines`` (S2): ``spark.read.text`` over a glob; a local glob that matches
-  nothing is an error, as is an empty input when ``require_rows`` is set.
+* ``scan_lines`` (S2): ``spark.read.text`` over a glob; a pattern that
+  matches no file is Spark's own error, in any file system.
 * ``parse_interactions`` (S5): ``user item count`` separated by whitespace.
 * ``parse_alias_lines`` (S6): ``alias<TAB>canonical``.
 * ``parse_name_lines`` (S7): ``id<TAB>name``.
@@ -13,8 +13,6 @@ pass instead of failing the job.
 
 from __future__ import annotations
 
-import glob as _glob
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +25,6 @@ TAB = "\t"
 
 def scan_lines(spark: SparkSession, pattern: str, with_file: bool = False) -> DataFrame:
     """Read text lines from a path or glob (column ``value``; ``file`` when asked)."""
-    if "://" not in pattern and not _glob.glob(pattern):
-        raise FileNotFoundError(f"no input files match {pattern!r}")
     df = spark.read.text(pattern)
     if with_file:
         df = df.withColumn("file", F.col("_metadata.file_path"))

@@ -70,3 +70,33 @@ def test_random_split_option_partitions_rows(spark):
     train, test = split.random_split(df, (0.8, 0.2), seed=42)
     assert train.count() + test.count() == 4000
     assert train.join(test, "a").count() == 0
+
+
+def test_folds_and_holdout_of_training_rows_are_even(spark):
+    """Properties that the oracle's formula cannot show: every use of the hash is unrelated to the others."""
+    from quillon.plans import survey as V
+
+    sf = SMALL.replace("0.001", "0.01")
+    train = R.split_ratings(spark, sf).filter("part = 'train'")
+    sizes = [r["count"] for r in split.with_fold(train, "row_a", "row_b", k=5).groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 1.03 * sum(sizes) / 5 and min(sizes) > 0.97 * sum(sizes) / 5
+    for r in V.q_holdout_balance(spark, sf).collect():
+        assert abs(r.n_holdout / r.n - 0.2) < 0.03, r
+    per_fold = {}
+    for r in V.q_fold_balance(spark, sf).collect():
+        per_fold.setdefault(r.line_number, []).append(r.n)
+    assert all(len(v) == 5 and max(v) < 1.25 * min(v) for v in per_fold.values())
+    orders = V.split_rows(spark, sf).groupBy("row_a").agg(F.count("*").alias("n"), F.count_if("is_train").alias("t")).filter("n > 1")
+    divided = orders.agg(F.avg(((F.col("t") > 0) & (F.col("t") < F.col("n"))).cast("int"))).first()[0]
+    assert divided > 0.25
+
+
+def test_checkpoint_folder_by_uri(spark):
+    """Staged text is found again below a folder named by a URI."""
+    import tempfile
+
+    from quillon.sources import text
+
+    path = "file:" + tempfile.mkdtemp() + "/lines"
+    text.write_lines(spark.createDataFrame([("a",), ("b",)], "value string"), "value", path)
+    assert text.scan_lines(spark, path, with_file=True).agg(F.count("*"), F.count_distinct("file")).first()[0] == 2

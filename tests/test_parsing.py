@@ -89,5 +89,5 @@ def test_name_lines(spark):
 
 
 def test_scan_lines_requires_match(spark, tmp_path):
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         text.scan_lines(spark, str(tmp_path / "nothing-*"))
