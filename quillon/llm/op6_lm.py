@@ -41,6 +41,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections import Counter, defaultdict
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -77,6 +78,12 @@ class Subwords:
         return array("H", self.ids(word)).tobytes()
 
 
+@lru_cache(maxsize=1)
+def subwords(path: str) -> Subwords:
+    """Kept by a worker from task to task."""
+    return Subwords(path)
+
+
 def _words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -89,7 +96,7 @@ class Packed(dict):
 
     def __init__(self, path: str):
         super().__init__()
-        self.sub = Subwords(path)
+        self.sub = subwords(path)
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
@@ -180,7 +187,7 @@ def _id_batches(path: str):
     """Words with their counts and their subword ids (uint16)."""
 
     def run(batches):
-        sub = Subwords(path)
+        sub = subwords(path)
         for batch in batches:
             ids = [sub.packed(w) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["word", "c", "ids"])
@@ -274,6 +281,12 @@ def window_at(x: np.ndarray, k: int) -> bytes:
     return out.tobytes()
 
 
+def _by_entry(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of ``rows`` (DIM wide) by the entry, or padding, that ``at`` names."""
+    cells = at.reshape(-1, 1) * DIM + np.arange(DIM)
+    return np.bincount(cells.ravel(), rows.ravel(), (VOCAB + 1) * DIM).reshape(-1, DIM).astype(np.float32)
+
+
 _LAG = (np.arange(STEP)[:, None] + WINDOW - STEP) - np.arange(WINDOW)[None, :]
 
 
@@ -352,7 +365,7 @@ class Model:
         """Natural log probability of each target entry (0 where padded), flat.
 
         The same numbers as ``forward`` gives, with fewer passes: sums of exponentials are
-        taken without first subtracting the largest term where a bound on the terms shows
+        taken (as products with ones) without first subtracting the largest term where a bound on the terms shows
         that they cannot overflow; only windows that begin with padding get its mask (padding at
         the end is hidden by the causal mask); only the target's class is normalised.
         """
@@ -361,7 +374,7 @@ class Model:
         most = np.linalg.norm(q, axis=1).max() * np.linalg.norm(k, axis=1).max() + mask.max()
         small = most < 80 and np.abs(self.params["out"]).sum(0).max() + prior.max() < 80
         safe, out = np.minimum(target, VOCAB - 1), []
-        kt, tail = np.ascontiguousarray(k), WINDOW - STEP
+        kt, tail, one = np.ascontiguousarray(k), WINDOW - STEP, np.ones(max(WINDOW, CLASSES), np.float32)
         log_in = self.log_in.ravel()
         for lo in range(0, len(keys), at_once):
             part = keys[lo : lo + at_once]
@@ -374,7 +387,7 @@ class Model:
                 s -= s.max(-1, keepdims=True)
             np.exp(s, out=s)
             mixed = s @ np.take(v, part, axis=0)
-            mixed /= s.sum(-1, keepdims=True)
+            mixed /= (s.reshape(-1, WINDOW) @ one[:WINDOW]).reshape(-1, STEP, 1)
             mixed += np.take(emb, own, axis=0)
             np.tanh(mixed, out=mixed)
             z = mixed.reshape(-1, DIM) @ self.params["out"]
@@ -385,7 +398,7 @@ class Model:
             y = safe[lo : lo + at_once].ravel()
             of = np.take(z.ravel(), np.arange(0, z.size, CLASSES) + np.take(self.cls, y))
             np.exp(z, out=z)
-            of -= np.log(z.sum(-1))
+            of -= np.log(z @ one[:CLASSES])
             of += np.take(log_in, np.minimum(own, VOCAB - 1) * VOCAB + y)
             of[target[lo : lo + at_once].ravel() == VOCAB] = 0
             out.append(of)
@@ -410,12 +423,8 @@ class Model:
         dk = ds.transpose(0, 2, 1) @ qt[own]
         lag = np.bincount(np.clip(_LAG, 0, WINDOW - 1).ravel(), (ds.sum(0) * (_LAG >= 0)).ravel(), WINDOW)
         out["lag"] = lag.astype(np.float32)
-        table_q, table_k, table_v = (np.zeros((VOCAB + 1, DIM), np.float32) for _ in range(3))
-        table_e = np.zeros((VOCAB + 1, DIM), np.float32)
-        np.add.at(table_e, own, dz)
-        np.add.at(table_q, own, dq / np.float32(DIM**0.5))
-        np.add.at(table_k, keys, dk)
-        np.add.at(table_v, keys, dv)
+        table_e, table_q = _by_entry(own, dz), _by_entry(own, dq / np.float32(DIM**0.5))
+        table_k, table_v = _by_entry(keys, dk), _by_entry(keys, dv)
         out["wq"], out["wk"], out["wv"] = emb.T @ table_q, emb.T @ table_k, emb.T @ table_v
         out["emb"] = (table_e + table_q @ p["wq"].T + table_k @ p["wk"].T + table_v @ p["wv"].T)[:VOCAB]
         return out
@@ -487,7 +496,7 @@ def fit(docs: DataFrame, path: str | None = None) -> Scorer:
     counts = staged(counts.mapInArrow(_id_batches(path), "word binary, c long, ids binary"), "lm-words")
     n, v, size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.col("c") * (F.octet_length("word") + 1)), F.lit(0))).first()
     n_docs = counts.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    n_ids = Subwords(path).n_ids
+    n_ids = subwords(path).n_ids
     vocabulary = Vocabulary(_dense(counts.select("c", "ids").mapInArrow(_subword_batches(n_ids), "id long, n long"), "id", n_ids))
     pairs = found.where("code is not null").select("code", "n").mapInArrow(_entry_batches(vocabulary.entry), "code long, n long")
     model = Model(vocabulary.unigram, _dense(pairs, "code", VOCAB * VOCAB))
@@ -522,7 +531,7 @@ def _block_words(batches):
 def score_texts(texts: list[bytes], words: list[bytes], c: np.ndarray, ids: list[bytes | None], scorer: Scorer):
     """(n_tokens, n_known, base, score) of texts whose words, and the end, are in ``words`` with counts ``c`` and, if known, ids."""
     n, v, model, vocabulary = scorer.n, scorer.v, scorer.model, scorer.vocabulary
-    sub = Subwords(scorer.path)
+    sub = subwords(scorer.path)
     index = {w: k for k, w in enumerate(words)}
     base = np.log10((c + 1.0) / (n + v + 1.0))
     ids = [sub.packed(w) if i is None else i for w, i in zip(words, ids)]
