@@ -83,7 +83,9 @@ def recommender_sql() -> dict[str, str]:
               ON p.p_name = m.p_name AND p.p_brand = m.p_brand
             GROUP BY p.p_partkey""",
         "interactions_line_counts": """
-            SELECT count(*) AS raw_lines, count(*) AS parsed_rows, CAST(0 AS BIGINT) AS dropped_rows
+            SELECT count(*) AS raw_lines,
+                   count(*) FILTER (WHERE l_orderkey % 23 <> 0 AND (l_orderkey % 17 = 0) = (l_orderkey % 19 = 0)) AS parsed_rows,
+                   count(*) FILTER (WHERE l_orderkey % 23 = 0 OR (l_orderkey % 17 = 0) <> (l_orderkey % 19 = 0)) AS dropped_rows
             FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
         "name_lines": "SELECT p_partkey AS item_id, trim(p_name) AS name FROM part",
         "alias_resolved_plays": _with("""
@@ -178,6 +180,48 @@ def recommender_sql() -> dict[str, str]:
 
 
 
+# ---------------------------------------------------------------- lists by a stated score (Job 3)
+
+def rule_sql() -> dict[str, str]:
+    base = f"""WITH {RECO_CTES},
+        scored AS (SELECT user_id, item_id, CAST({_hash('score', 'user_id', 'item_id')} AS DOUBLE) / 4294967296 AS score
+                   FROM (SELECT DISTINCT user_id, item_id FROM split)),
+        lists AS (SELECT * FROM (SELECT user_id, item_id, score,
+                    row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM scored) WHERE rank <= 10),
+        rule AS (SELECT l.*, CASE WHEN a.item_id IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS label
+                 FROM lists l LEFT JOIN acts a ON a.user_id = l.user_id AND a.item_id = l.item_id
+                 WHERE l.user_id IN (SELECT user_id FROM acts))"""
+    return {
+        "rule_top10": f"{base} SELECT user_id, rank, item_id, round(score, 6) AS score FROM lists",
+        "rule_labels": f"{base} SELECT user_id, rank, item_id, label FROM rule",
+        # of a user's pairs of a hit and a miss, the share with the hit in front
+        "rule_user_auc": f"""{base}
+            SELECT p.user_id, round(CASE WHEN pos = 0 OR neg = 0 THEN 0.5 ELSE coalesce(good, 0) / (pos * neg) END, 6) AS auc
+            FROM (SELECT user_id, sum(label) AS pos, sum(1 - label) AS neg FROM rule GROUP BY user_id) p
+            LEFT JOIN (SELECT h.user_id, count(*) AS good FROM rule h JOIN rule m ON h.user_id = m.user_id
+                       WHERE h.label = 1 AND m.label = 0 AND h.rank < m.rank GROUP BY h.user_id) g ON g.user_id = p.user_id""",
+        "rule_pooled_auc": f"""{base} {_curve_sql('score', 'label')}
+            SELECT round(auc, 6) AS auc, round(aupr, 6) AS aupr, n_pos, n_neg FROM areas""",
+        "rule_confusion": f"""{base},
+            per AS (SELECT a.user_id, count(*) AS n_actual, count(l.item_id) AS hits
+                    FROM acts a LEFT JOIN lists l ON l.user_id = a.user_id AND l.item_id = a.item_id GROUP BY a.user_id),
+            tot AS (SELECT count(*) AS users, sum(hits)::BIGINT AS tp, sum(10 - hits)::BIGINT AS fp, sum(n_actual - hits)::BIGINT AS fn,
+                           sum((SELECT count(DISTINCT item_id) FROM train) - 10 - n_actual + hits)::BIGINT AS tn FROM per)
+            SELECT users, tp, fp, fn, tn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall,
+                   round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy FROM tot""",
+        "rule_named": f"""{base}
+            SELECT user_id, rank, item_id, coalesce(p_name, 'Unknown Artist') AS name
+            FROM lists LEFT JOIN part ON p_partkey = item_id AND p_partkey % 7 <> 0 AND p_partkey % 11 <> 0""",
+        "lookup_line_counts": """
+            SELECT 'aliases' AS source, count(*) AS raw_lines,
+                   count(*) FILTER (WHERE p_partkey % 13 <> 0 AND p_partkey % 17 <> 0) AS parsed_rows,
+                   count(*) FILTER (WHERE p_partkey % 13 = 0 OR p_partkey % 17 = 0) AS dropped_rows FROM part
+            UNION ALL
+            SELECT 'names', count(*), count(*) FILTER (WHERE p_partkey % 7 <> 0 AND p_partkey % 11 <> 0),
+                   count(*) FILTER (WHERE p_partkey % 7 = 0 OR p_partkey % 11 = 0) FROM part""",
+    }
+
+
 # ---------------------------------------------------------------- weather (Job 2)
 
 def _weather_lines_sql() -> str:
@@ -292,6 +336,11 @@ def weather_sql() -> dict[str, str]:
             fit AS (SELECT regr_slope({y}, {x}) AS b, regr_intercept({y}, {x}) AS a FROM imp WHERE part = 'train')
             SELECT part, count(*) AS n, round(avg(({y} - (a + b * {x})) * ({y} - (a + b * {x}))), 6) AS mse
             FROM imp CROSS JOIN fit WHERE part IS NOT NULL GROUP BY part""",
+        "best_one_feature": f"""{with_imp} """ + " UNION ALL ".join(
+            f"""SELECT * FROM (SELECT '{c}' AS feature, round(avg(({FW.LABEL} - (a + b * {c}_imputed)) ** 2), 6) AS mse
+                FROM imp CROSS JOIN (SELECT regr_slope({FW.LABEL}, {c}_imputed) AS b, regr_intercept({FW.LABEL}, {c}_imputed) AS a
+                                     FROM imp WHERE part = 'train') WHERE part = 'test')"""
+            for c in nullable) + " ORDER BY mse LIMIT 1",
         "weather_ridge_coef": f"""{with_imp},
             fit AS (SELECT covar_pop({x}, {y}) / (var_pop({x}) * (1 + 0.001 / stddev_pop({y}))) AS b,
                            avg({x}) AS mx, avg({y}) AS my FROM imp WHERE part = 'train')
@@ -393,6 +442,9 @@ def survey_sql() -> dict[str, str]:
             SELECT row_b AS line_number, count(*) AS n,
                    count(*) FILTER (WHERE {_hash('holdout', 'row_a', 'row_b')} * 5 >= 4 * 4294967296) AS n_holdout
             FROM strain GROUP BY 1""",
+        "sorted_labels": f"""{base}
+            SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS pos, label
+            FROM (SELECT DISTINCT CAST(band AS INTEGER) AS label FROM clean WHERE band IS NOT NULL)""",
         "band_counts": f"""{base}
             SELECT band, count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test
             FROM sp WHERE band IS NOT NULL GROUP BY band""",
@@ -422,6 +474,7 @@ def survey_sql() -> dict[str, str]:
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(recommender_sql())
+    out.update(rule_sql())
     out.update(weather_sql())
     out.update(survey_sql())
     return out

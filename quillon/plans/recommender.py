@@ -74,10 +74,18 @@ def q_alias_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_interactions_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 + S5 permissive: raw, parsed and rejected interaction lines of the staged text, one pass."""
+    """S4 + S5 permissive: raw, parsed and rejected interaction lines of the staged text, one pass.
+
+    Some lines are broken: two fields in every 17th order, four in every 19th, a user
+    that is no number in every 23rd.
+    """
     r = standins.ratings(spark, sf_dir)
     path = S.staging_path(spark, "interactions-counts")
-    text.write_lines(r.select(F.concat_ws(" ", "user_id", "item_raw", "plays").alias("line")), "line", path)
+    order = F.col("row_a")
+    line = F.concat_ws(
+        " ", F.when(order % 23 == 0, F.concat(F.lit("u"), F.col("user_id").cast("string"))).otherwise(F.col("user_id").cast("string")),
+        "item_raw", F.when(order % 17 != 0, F.col("plays")), F.when(order % 19 == 0, F.lit("9")))
+    text.write_lines(r.select(line.alias("line")), "line", path)
     return text.line_counts(text.parse_interactions(text.scan_lines(spark, f"{path}/part-*")))
 
 

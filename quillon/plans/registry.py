@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quillon.plans import recommender as R
+from quillon.plans import rule_lists as L
 from quillon.plans import survey as V
 from quillon.plans import weather as W
 
@@ -31,6 +32,13 @@ def queries() -> dict[str, Query]:
         "popularity_mean_auc": R.q_popularity_mean_auc,
         "popularity_at_50": R.q_popularity_at_50,
         "name_search": R.q_name_search,
+        "rule_top10": L.q_rule_top10,
+        "rule_labels": L.q_rule_labels,
+        "rule_user_auc": L.q_rule_user_auc,
+        "rule_pooled_auc": L.q_rule_pooled_auc,
+        "rule_confusion": L.q_rule_confusion,
+        "rule_named": L.q_rule_named,
+        "lookup_line_counts": L.q_lookup_line_counts,
         "weather_counts": W.q_weather_counts,
         "weather_parse": W.q_weather_parse,
         "weather_year_bounds": W.q_weather_year_bounds,
@@ -41,6 +49,7 @@ def queries() -> dict[str, Query]:
         "best_correlation": W.q_best_correlation,
         "weather_ols_mse": W.q_weather_ols_mse,
         "weather_ridge_coef": W.q_weather_ridge_coef,
+        "best_one_feature": W.q_best_one_feature,
         "weather_lr_full": W.q_weather_lr_full,
         "weather_rf": W.q_weather_rf,
         "best_regressor": W.q_best_regressor,
@@ -48,6 +57,7 @@ def queries() -> dict[str, Query]:
         "survey_filtered": V.q_survey_filtered,
         "hash_split_counts": V.q_hash_split_counts,
         "band_counts": V.q_band_counts,
+        "sorted_labels": V.q_sorted_labels,
         "fold_balance": V.q_fold_balance,
         "holdout_balance": V.q_holdout_balance,
         "string_index_levels": V.q_string_index_levels,

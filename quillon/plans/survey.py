@@ -87,6 +87,13 @@ def q_band_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("is_train")).alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test"))
 
 
+def q_sorted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the second label's levels in order (a list bounded by the number of levels)."""
+    s = clean.not_null(split_rows(spark, sf_dir), LABEL_BAND)
+    levels = s.agg(F.sort_array(F.collect_set(F.col(LABEL_BAND).cast("int"))).alias("levels"))
+    return levels.select(F.posexplode("levels").alias("pos", "label"))
+
+
 def q_fold_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training rows by fold and line number."""
     train, _ = _train_test(spark, sf_dir)

@@ -144,6 +144,26 @@ def q_weather_ridge_coef(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_best_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: of the least-squares fits on one imputed feature each, the one with the least test MSE.
+
+    All fits are one aggregate, all errors another; the driver holds two numbers a feature.
+    """
+    df = imputed_parts(spark, sf_dir)
+    y = F.col(FW.LABEL)
+    fits = df.filter(F.col("part") == "train").agg(
+        *[f(y, F.col(c)).alias(f"{f.__name__}_{c}") for c in IMPUTED for f in (F.regr_slope, F.regr_intercept)]).first()
+    errors = []
+    for c in IMPUTED:
+        b, a = fits[f"regr_slope_{c}"], fits[f"regr_intercept_{c}"]
+        d = y - (F.lit(a).cast("double") + F.lit(b).cast("double") * F.col(c))
+        errors.append(F.avg(d * d).alias(c))
+    row = df.filter(F.col("part") == "test").agg(*errors).first()
+    rows = [(c.removesuffix("_imputed"), k, row[c]) for k, c in enumerate(IMPUTED) if row[c] is not None]
+    out = spark.createDataFrame(rows, "feature string, pos int, mse double")
+    return rank.argmin(out, "mse", "pos").select("feature", F.round("mse", 6).alias("mse"))
+
+
 def _regression_report(spark: SparkSession, sf_dir: str, which: str) -> list[tuple[str, str, float]]:
     df = imputed_parts(spark, sf_dir).filter(F.col("part").isNotNull())
     assembled = models.assembler(MODEL_INPUTS).transform(df).select("features", FW.LABEL, "part").persist()

@@ -8,7 +8,8 @@
 
 All parsers are column expressions over the ``value`` column (no Python per
 line); each keeps a ``valid`` flag so rejected lines can be counted in the same
-pass instead of failing the job.
+pass instead of failing the job. With ``strict`` a line whose numbers cannot be read
+fails the job.
 """
 
 from __future__ import annotations
@@ -47,23 +48,34 @@ def _int_token(tok) -> F.Column:
     return F.when(t.rlike(INT_PATTERN), t.try_cast("bigint"))
 
 
-def parse_interactions(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """(user_id, item_id, plays, valid): exactly three integer tokens, else invalid."""
+def _or_fail(ok, line) -> F.Column:
+    """True where ``ok``; elsewhere the job fails and names the line."""
+    return F.when(ok, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("bad line: "), line)).cast("boolean"))
+
+
+def parse_interactions(lines: DataFrame, value_col: str = "value", strict: bool = False) -> DataFrame:
+    """(user_id, item_id, plays, valid): exactly three integer tokens, else invalid (``strict``: the job fails)."""
     toks = F.split(strip_ws(F.col(value_col)), WHITESPACE)
     u, i, c = (_int_token(F.get(toks, k)) for k in range(3))
-    valid = (F.size(toks) == 3) & u.isNotNull() & i.isNotNull() & c.isNotNull()
+    valid = F.coalesce((F.size(toks) == 3) & u.isNotNull() & i.isNotNull() & c.isNotNull(), F.lit(False))
+    if strict:
+        lines = lines.filter(_or_fail(valid, F.col(value_col)))
     return lines.select(
-        u.alias("user_id"), i.alias("item_id"), c.alias("plays"), F.coalesce(valid, F.lit(False)).alias("valid")
+        u.alias("user_id"), i.alias("item_id"), c.alias("plays"), valid.alias("valid")
     )
 
 
-def parse_alias_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """(alias_id, canonical_id, valid): lines with fewer than two fields or an empty first field are dropped."""
+def parse_alias_lines(lines: DataFrame, value_col: str = "value", strict: bool = False) -> DataFrame:
+    """(alias_id, canonical_id, valid): lines with fewer than two fields or an empty first field are invalid,
+    and so are ids that are no numbers (``strict``: those fail the job)."""
     toks = F.split(F.col(value_col), TAB)
     a = _int_token(F.get(toks, 0))
     c = _int_token(F.get(toks, 1))
     has_fields = (F.size(toks) >= 2) & (F.get(toks, 0) != F.lit(""))
-    valid = has_fields & a.isNotNull() & c.isNotNull()
+    numbers = a.isNotNull() & c.isNotNull()
+    valid = has_fields & numbers
+    if strict:
+        lines = lines.filter(_or_fail(~F.coalesce(has_fields, F.lit(False)) | numbers, F.col(value_col)))
     return lines.select(
         a.alias("alias_id"), c.alias("canonical_id"), F.coalesce(valid, F.lit(False)).alias("valid")
     )

@@ -91,3 +91,18 @@ def test_name_lines(spark):
 def test_scan_lines_requires_match(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         text.scan_lines(spark, str(tmp_path / "nothing-*"))
+
+
+def test_strict_scans_fail(spark):
+    good = spark.createDataFrame([("1 2 3",), (" 4\t5 6 ",)], "value string")
+    assert text.parse_interactions(good, strict=True).count() == 2
+    for bad in ("1 2", "1 2 3 4", "a 2 3", "", None):
+        with pytest.raises(Exception, match="bad line|USER_RAISED"):
+            text.parse_interactions(good.union(spark.createDataFrame([(bad,)], "value string")), strict=True).collect()
+
+
+def test_strict_aliases_fail_on_ids_only(spark):
+    short = spark.createDataFrame([("10\t20",), ("\t5",), ("7",), (None,)], "value string")
+    assert [r.valid for r in text.parse_alias_lines(short, strict=True).collect()] == [True, False, False, False]
+    with pytest.raises(Exception, match="bad line"):
+        text.parse_alias_lines(short.union(spark.createDataFrame([("x\t1",)], "value string")), strict=True).collect()
