@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from quillon.llm.common import crc_mod, staged, table, text_bytes
 
 SAMPLE, THRESHOLD, FOLDS = 20_000, 0.3, 5
+PART = 256  # rows whose texts and counts a worker holds at a time
 TREES, DEPTH, BINS, RATE, LEAST = 60, 3, 48, 0.2, 20
 
 #: Kinds of bytes, by the characters that belong to them.
@@ -72,9 +73,15 @@ def statistics(texts: list[bytes]) -> np.ndarray:
     return np.hstack([counts @ _KIND / total, rest]).astype(np.float32)
 
 
+def _by_parts(column: pa.Array) -> np.ndarray:
+    """Statistics of a batch, ``PART`` rows at a time: what a worker holds beside the batch stays small."""
+    parts = [statistics(text_bytes(column.slice(lo, PART))) for lo in range(0, len(column), PART)]
+    return np.vstack(parts) if parts else np.zeros((0, len(NAMES)), np.float32)
+
+
 def _feature_batches(batches):
     for batch in batches:
-        f = statistics(text_bytes(batch.column(1)))
+        f = _by_parts(batch.column(1))
         cells = pa.FixedSizeListArray.from_arrays(pa.array(f.reshape(-1)), len(NAMES)).cast(pa.list_(pa.float32()))
         yield pa.RecordBatch.from_arrays([batch.column(0), cells], names=["doc_id", "stats"])
 
@@ -189,7 +196,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keep = model.score(statistics(text_bytes(batch.column(text).cast(pa.string())))) >= THRESHOLD
+            keep = model.score(_by_parts(batch.column(text).cast(pa.string()))) >= THRESHOLD
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
