@@ -266,13 +266,22 @@ def q_als_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.operators import recommend
 
     s = split_ratings(spark, sf_dir).persist()
-    recs = None
     try:
         train = s.filter(F.col("part") == "train").select("user_id", "item_id", "plays")
         test = s.filter(F.col("part") == "test").select("user_id", "item_id")
         recommend.check_int_ids(train)
-        model = recommend.fit(train, **ALS_PARAMS)
-        recs = recommend.top_n(model, test.select("user_id"), TOP_N).persist()
+        rows = _list_metrics(train, test, recommend.fit(train, **ALS_PARAMS))
+    finally:
+        s.unpersist()
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
+def _list_metrics(train: DataFrame, test: DataFrame, model) -> list[tuple[str, float | None]]:
+    """(metric, value) of a model's and the popularity list against the test rows; the inputs should be cached."""
+    from quillon.operators import recommend
+
+    recs = recommend.top_n(model, test.select("user_id"), TOP_N).persist()
+    try:
         items_total = train.agg(F.count_distinct("item_id")).first()[0]
         als_auc = recommend.user_auc(recs, test).agg(F.avg("auc")).first()[0]
         pop = popularity_list(train)
@@ -280,9 +289,7 @@ def q_als_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         pooled = metrics.pooled_pair_areas(recommend.label_lists(recs, test), "score", "label").first()
         conf = recommend.confusion_at(recs, test, TOP_N, items_total).first()
     finally:
-        if recs is not None:
-            recs.unpersist()
-        s.unpersist()
+        recs.unpersist()
     rows = [
         ("als_mean_user_auc", als_auc),
         ("popularity_mean_user_auc", pop_auc),
@@ -291,7 +298,39 @@ def q_als_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("recall_at_50", conf["recall"]),
         ("accuracy_at_50", conf["accuracy"]),
     ]
-    return spark.createDataFrame([(k, float(v) if v is not None else None) for k, v in rows], "metric string, value double")
+    return [(k, float(v) if v is not None else None) for k, v in rows]
+
+
+def q_recommender_job(spark: SparkSession, sf_dir: str, axes=ALS_GRID) -> DataFrame:
+    """The whole recommender job in one run: one cached split, the grid over its training folds,
+    the best point fitted on all training rows, its metrics on the test rows, and the profile
+    refit with the best point. Returns (step, name, value, text).
+    """
+    from quillon.operators import recommend
+
+    s = split.with_fold(split_ratings(spark, sf_dir), "row_a", "row_b", k=GRID_FOLDS).persist()
+    prof = standins.profile(spark)
+    try:
+        train = s.filter(F.col("part") == "train")
+        test = s.filter(F.col("part") == "test").select("user_id", "item_id")
+        recommend.check_int_ids(s)
+        c = s.agg(F.count_if(F.col("part") == "train"), F.count_if(F.col("part") == "test"), F.count_distinct("user_id")).first()
+        out = [("counts", k, float(v), None) for k, v in zip(("train_rows", "test_rows", "users"), c)]
+        grid = recommend.grid_search(train, "fold", GRID_FOLDS, *axes, n=TOP_N)
+        out += [("grid", f"rank={r} reg={lam} alpha={a}", auc, None) for r, lam, a, auc in grid]
+        best = dict(zip(("rank", "reg", "alpha"), recommend.pick_best(grid)))
+        out += [("best", k, float(v), None) for k, v in best.items()]
+        params = ALS_PARAMS | best
+        rows = train.select("user_id", "item_id", "plays")
+        out += [("metrics", k, v, None) for k, v in _list_metrics(rows, test, recommend.fit(rows, **params))]
+        model = recommend.fit(rows.unionByName(prof), **params)
+        recs = recommend.top_n(model, prof.select("user_id"), PROFILE_TOP)
+        # PROFILE_TOP rows at most
+        named = lookup.attach_names(recs, standins.item_names(spark, sf_dir)).orderBy("rank").collect()
+        out += [("profile", f"{r['rank']:02d}", float(r["item_id"]), r["name"]) for r in named]
+    finally:
+        s.unpersist()
+    return spark.createDataFrame(out, "step string, name string, value double, text string")
 
 
 def q_als_grid(spark: SparkSession, sf_dir: str, axes=ALS_GRID) -> DataFrame:

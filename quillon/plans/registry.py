@@ -77,6 +77,7 @@ def queries() -> dict[str, Query]:
         "als_user_auc": R.q_als_user_auc,
         "als_metrics": R.q_als_metrics,
         "als_grid": R.q_als_grid,
+        "recommender_job": R.q_recommender_job,
         "als_profile_top25": R.q_als_profile_top25,
     }
     return q

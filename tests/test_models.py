@@ -91,3 +91,13 @@ def test_doc_quality_tree_report(spark):
     rows = {r.item: r.value for r in E.queries()["doc_quality_tree"](spark, SMALL).collect()}
     assert rows["train_rows"] > 0 and rows["test_rows"] > 0
     assert 0.0 <= rows["accuracy"] <= 1.0 and 0.0 <= rows["area_under_roc"] <= 1.0
+
+
+def test_recommender_job_is_one_chain(spark, duck):
+    rows = E.queries()["recommender_job"](spark, SMALL).collect()
+    by = {s: {r["name"]: r["value"] for r in rows if r["step"] == s} for s in ("counts", "grid", "best", "metrics", "profile")}
+    parts = duck.execute(E.oracle_sql()["user_split_counts"]).df()
+    assert by["counts"] == {"train_rows": parts.n_train.sum(), "test_rows": parts.n_test.sum(), "users": len(parts)}
+    best = f"rank={by['best']['rank']:.0f} reg={by['best']['reg']} alpha={by['best']['alpha']}"
+    assert by["grid"][best] == max(by["grid"].values())
+    assert len(by["profile"]) == 25 and 0 <= by["metrics"]["precision_at_50"] <= 1
