@@ -19,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without chunks of lines that occur elsewhere before."""
-    return op1_lines.dedup_lines(docs)
+    """All documents, without chunks of lines and runs of 50 words that occur elsewhere before."""
+    return op1_lines.dedup_lines(docs, passages=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,13 @@ kept where it occurs first (smallest doc_id, then position) and removed elsewher
 Chunks meet by a 64-bit hash; each is then compared byte by byte with the text of the
 occurrence that is kept, and stays if it differs.
 
+With ``passages`` (the pipeline's stage; the query's SQL states the chunk rule alone), every word
+that lies in a run of ``RUN`` words which occurs earlier (by doc_id, then place) goes too,
+wherever the run begins and ends. Of runs that overlap the occurrence they repeat, only the words
+behind that occurrence go. Words are cut at ASCII white space. Runs are met in two steps:
+of each ``RUN`` words in a row the ``GRAM`` words with the least hash are an anchor, so that equal
+runs have an anchor in common; around anchors that occur again, every run is compared by 128 bits.
+
 At scale: chunk rows are slim (no text); groups are met by partial aggregation, hot
 chunks by a join that adaptive execution splits. Texts are dealt by doc_id in one
 exchange, which serves both the texts of kept occurrences and the final comparison.
@@ -29,19 +36,22 @@ Empty table: no rows.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
 from quillon.llm.common import free_name, staged, table, text_bytes
 
 WINDOW, MIN_LINES, MIN_WORDS = 2, 2, 10
+RUN, GRAM = 50, 16
 _CUT = re.compile(rb"[^\n]*?(?:\. |\n)|[^\n]+")
+_WORD = re.compile(rb"\s*\S+")
 _END = 1 << 33
 
 
@@ -90,7 +100,10 @@ def chunks_of(text: bytes) -> list[tuple[int, int, bytes]]:
 
 def without(text: bytes, gone: list[tuple[int, int]]) -> bytes:
     """The text without some runs of lines. A physical line loses its newline only if it goes whole; the rest of a line that loses its end is trimmed on the right."""
-    lines = lines_of(text)
+    return without_lines(lines_of(text), gone)
+
+
+def without_lines(lines: list[bytes], gone: list[tuple[int, int]]) -> bytes:
     stay = [True] * len(lines)
     for lo, hi in gone:
         stay[lo:hi] = [False] * (hi - lo)
@@ -111,6 +124,111 @@ def without(text: bytes, gone: list[tuple[int, int]]) -> bytes:
     return joined[:-1] if joined.endswith(b"\n") and not ended else joined
 
 
+def without_words(lines: list[bytes], runs: list[tuple[int, int]]) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """The lines without some runs of words, and the lines of which no word stays (these are left as they are)."""
+    size = [len(x.split()) for x in lines]
+    stay = np.ones(sum(size), bool)
+    for lo, hi in runs:
+        stay[lo:hi] = False
+    out, gone, at = [], [], 0
+    for k, (x, n) in enumerate(zip(lines, size)):
+        own = stay[at : at + n]
+        at += n
+        if n and not own.any():
+            gone.append((k, k + 1))
+        elif not own.all():
+            keep = iter(own.tolist())
+            x = _WORD.sub(lambda w: w[0] if next(keep) else b"", x)
+            x = x if own[0] else x.lstrip()
+        out.append(x)
+    return out, gone
+
+
+@lru_cache(maxsize=8)
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2^64."""
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)]) for x in (base, pow(base, -1, 1 << 64)))
+
+
+def _rolling(h: np.ndarray, n: int, base: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` word hashes."""
+    up, down = _powers(base, 1 << int(len(h)).bit_length())
+    s = np.r_[np.uint64(0), np.cumsum(h * up[: len(h)])]
+    g = (s[n:] - s[:-n]) * down[: len(h) - n + 1]
+    g ^= g >> np.uint64(32)
+    g *= np.uint64(0xD6E8FEB86659FD93)
+    return g ^ (g >> np.uint64(32))
+
+
+def _word_hashes(words: list[bytes], seed: int) -> np.ndarray:
+    return np.fromiter((xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+
+
+def anchors_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the GRAM words with the least hash, the last of equal ones, in every RUN words."""
+    if len(words) < RUN:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    g = _rolling(_word_hashes(words, 0), GRAM, 0x9E3779B97F4A7C15)
+    w = RUN - GRAM + 1
+    least = np.lib.stride_tricks.sliding_window_view(g, w)[:, ::-1].argmin(1)
+    at = np.unique(np.arange(len(g) - w + 1) + w - 1 - least)
+    return at, g[at]
+
+
+def runs_at(words: list[bytes], anchors: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, two hashes) of the runs of RUN words that hold one of the anchors."""
+    n = len(words) - RUN + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    want = np.zeros(n, bool)
+    for a in anchors:
+        want[max(0, a - (RUN - GRAM)) : a + 1] = True
+    at = np.flatnonzero(want)
+    return at, _rolling(_word_hashes(words, 1), RUN, 0xA0761D6478BD642F)[at], _rolling(_word_hashes(words, 2), RUN, 0xE7037ED1A0B428DB)[at]
+
+
+def _signed(parts: list[np.ndarray], dtype=np.uint64) -> pa.Array:
+    return pa.array(np.concatenate([np.zeros(0, dtype), *parts]).view(np.int64))
+
+
+def _anchor_batches(batches):
+    for batch in batches:
+        ids, at, hs = [], [], []
+        for d, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+            a, h = anchors_of(t.split())
+            ids.append(np.full(len(a), d, np.int64))
+            at.append(a)
+            hs.append(h)
+        yield pa.RecordBatch.from_arrays([_signed(ids, np.int64), _signed(at, np.int64), _signed(hs)], names=["doc_id", "at", "h"])
+
+
+def _run_batches(batches):
+    """From (doc_id, text, places of anchors): the runs around them."""
+    for batch in batches:
+        rows = list(zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()))
+        for lo in range(0, len(rows), 64):
+            ids, found = [], []
+            for d, t, near in rows[lo : lo + 64]:
+                found.append(runs_at(t.split(), near))
+                ids.append(np.full(len(found[-1][0]), d, np.int64))
+            at, h, h2 = zip(*found)
+            yield pa.RecordBatch.from_arrays([_signed(ids, np.int64), _signed(at, np.int64), _signed(h), _signed(h2)], names=["doc_id", "at", "h", "h2"])
+
+
+def repeated_runs(slim: DataFrame) -> DataFrame:
+    """(in_doc, from_word, to_word) of words that an earlier run of RUN words holds, from (doc_id, text) rows with a doc_id."""
+    anchors = staged(slim.mapInArrow(_anchor_batches, "doc_id long, at long, h long"), "lines-anchors")
+    again = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    near = anchors.join(again, "h").groupBy(F.col("doc_id").alias("in_")).agg(F.collect_set("at").alias("near"))
+    runs = slim.join(near, F.col("doc_id") == F.col("in_")).select("doc_id", "text", "near")
+    runs = staged(runs.mapInArrow(_run_batches, "doc_id long, at long, h long, h2 long"), "lines-runs")
+    first = runs.groupBy("h", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1")
+    first = first.select("h", "h2", F.col("first.doc_id").alias("of"), F.col("first.at").alias("of_at"))
+    later = runs.join(first, ["h", "h2"]).where("doc_id <> of or at <> of_at")
+    lo = F.when(F.col("doc_id") == F.col("of"), F.greatest("at", F.col("of_at") + RUN)).otherwise(F.col("at"))
+    return later.select(F.col("doc_id").alias("in_doc"), lo.alias("from_word"), (F.col("at") + RUN).alias("to_word"))
+
+
 def _chunk_batches(batches):
     for batch in batches:
         ids, no, hs = [], [], []
@@ -150,15 +268,16 @@ def _texts(hs, texts):
 _FOUND = StructType([StructField("from_line", IntegerType()), StructField("to_line", IntegerType())])
 
 
-def _cut_batches(at_text: int, at_found: int):
-    """Compare each candidate with the text of the occurrence that is kept, and cut the equal ones."""
+def _cut_batches(at_text: int, at_found: int, at_runs: int | None = None):
+    """Compare each candidate with the text of the occurrence that is kept, and cut the equal ones; cut runs of words."""
 
     def run(batches):
         for batch in batches:
             texts, found = batch.column(at_text), batch.column(at_found).to_pylist()
+            runs = batch.column(at_runs).to_pylist() if at_runs is not None else [None] * len(found)
             raw = texts.cast(pa.binary()).to_pylist()
-            new, spans, n_lines = [], [], []
-            for t, cand in zip(raw, found):
+            new, spans, n_lines, cut = [], [], [], []
+            for t, cand, words in zip(raw, found, runs):
                 gone = []
                 n_lines.append(count_lines(t) if t else 0)
                 if cand:
@@ -166,19 +285,24 @@ def _cut_batches(at_text: int, at_found: int):
                     for c in cand:
                         kept.setdefault(c["line"], []).append(c["kept_text"])
                     gone = [(lo, hi) for lo, hi, chunk in chunks_of(t) if chunk in kept.get(lo, ())]
-                new.append(without(t, gone) if gone else t)
+                if words:
+                    lines, empty = without_words(lines_of(t), [(w["from_word"], w["to_word"]) for w in words])
+                    new.append(without_lines(lines, gone + empty))
+                else:
+                    new.append(without(t, gone) if gone else t)
+                cut.append(bool(gone or words))
                 spans.append([{"from_line": lo, "to_line": hi} for lo, hi in gone])
-            cols = [batch.column(k) for k in range(batch.num_columns) if k != at_found]
+            cols = [batch.column(k) for k in range(batch.num_columns) if k not in (at_found, at_runs)]
             cols[at_text] = pa.array(new, pa.binary()).cast(pa.string())
-            names = [n for k, n in enumerate(batch.schema.names) if k != at_found]
+            names = [n for k, n in enumerate(batch.schema.names) if k not in (at_found, at_runs)]
             spans_ = pa.array(spans, pa.list_(pa.struct([("from_line", pa.int32()), ("to_line", pa.int32())])))
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n_lines, pa.int64()), spans_], names=[*names, "n_lines", "removed"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(n_lines, pa.int64()), spans_, pa.array(cut, pa.bool_())], names=[*names, "n_lines", "removed", "cut"])
 
     return run
 
 
-def dedup_lines(docs: DataFrame, report: bool = False) -> DataFrame:
-    """``docs`` without repeated chunks; ``report`` adds n_lines and the removed (from_line, to_line) spans.
+def dedup_lines(docs: DataFrame, report: bool = False, passages: bool = False) -> DataFrame:
+    """``docs`` without repeated chunks (and runs of words, with ``passages``); ``report`` adds n_lines and the removed (from_line, to_line) spans of chunks.
 
     The columns that ``report`` adds get underscores in front if the input has their names.
     """
@@ -200,14 +324,20 @@ def dedup_lines(docs: DataFrame, report: bool = False) -> DataFrame:
     found_name = free_name("found_", names)
     found = cand.join(kept, "h").groupBy(F.col("doc_id").alias("in_")).agg(F.collect_list(F.struct("line", "kept_text")).alias(found_name))
     both = dealt.join(found, F.col(key) == F.col("in_"), "left").drop("in_", key)
+    runs_name = free_name("runs_", [*names, found_name])
+    if passages:
+        runs = repeated_runs(slim.where("doc_id is not null")).groupBy(F.col("in_doc").alias("of_")).agg(F.collect_set(F.struct("from_word", "to_word")).alias(runs_name))
+        both = dealt.join(found, F.col(key) == F.col("in_"), "left").join(runs, F.col(key) == F.col("of_"), "left").drop("in_", "of_", key)
     without_id = docs.where(F.col("doc_id").cast("long").isNull()).withColumn(found_name, F.lit(None).cast(both.schema[found_name].dataType))
+    if passages:
+        without_id = without_id.withColumn(runs_name, F.lit(None).cast(both.schema[runs_name].dataType))
     both = both.unionByName(without_id)
     both = both.withColumn(names[at_text], F.col(names[at_text]).cast("string"))
-    fields = [StructField(f.name, f.dataType) for f in both.schema if f.name != found_name]
-    schema = StructType([*fields, StructField("n_lines_", LongType()), StructField("removed_", ArrayType(_FOUND))])
-    out = both.mapInArrow(_cut_batches(at_text, len(names)), schema)
+    fields = [StructField(f.name, f.dataType) for f in both.schema if f.name not in (found_name, runs_name)]
+    schema = StructType([*fields, StructField("n_lines_", LongType()), StructField("removed_", ArrayType(_FOUND)), StructField("cut_", BooleanType())])
+    out = both.mapInArrow(_cut_batches(at_text, len(names), len(names) + 1 if passages else None), schema)
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.size("removed_") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col("cut_"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     if not report:
         return out.select(*names)
     return out.select(*names, F.col("n_lines_").alias(free_name("n_lines", names)), F.col("removed_").alias(free_name("removed", names)))
