@@ -19,8 +19,8 @@ tokenizer (of a blank and the word, so that ids of words in a row are those word
 
 All counts (words, subwords, subword pairs) cover all training rows: those whose
 crc32(doc_id as text) modulo ``FOLDS`` isn't ``HELD_OUT``. The attention weights are trained on
-one window in ``TRAIN_EVERY`` of every training text, by ``ROUNDS`` rounds of local
-training in every task and averaging of the weights.
+every window of every training text, once: in ``ROUNDS`` rounds, each over its share of the
+texts (by hash), every task trains on its texts as they stream by, and the weights are averaged.
 
 The base score is the sum over tokens (words and the end) of log10((c+1)/(N+V+1)) with counts
 from the same rows.
@@ -42,7 +42,6 @@ import base64
 from array import array
 from collections import Counter, defaultdict
 from functools import lru_cache
-from zlib import crc32
 
 import numpy as np
 import public_tokenizers
@@ -55,7 +54,7 @@ from quillon.llm.common import crc_mod, staged, table, text_bytes
 
 FOLDS, HELD_OUT = 7, 2
 VOCAB, CLASSES, DIM, WINDOW, STEP = 1024, 64, 16, 32, 16
-TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, RATE = 32, 3, 2, 128, 0.01
+ROUNDS, BATCH, RATE = 6, 128, 0.01
 PRIOR, DISCOUNT, CONTEXT = 20.0, 0.75, 0.6
 BLOCK_BYTES = 20_000_000
 END = b"\n"  # no word holds it
@@ -117,22 +116,19 @@ def _counted(codes: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray
 
 
 def _corpus_batches(path: str):
-    """Of all texts: word counts, counts of subword pairs (the end stands before, between and after texts), and every TRAIN_EVERY-th window."""
+    """Of all texts: word counts, and counts of subword pairs (the end stands before, between and after texts)."""
 
-    def rows(words=(), codes=(), n=(), windows=()):
-        k, w = len(words) + len(codes), len(windows)
+    def rows(words=(), codes=(), n=()):
         cols = [
-            pa.array([*words, *[None] * len(codes), *windows], pa.binary()),
-            pa.array(np.r_[np.zeros(len(words), np.int64), np.asarray(codes, np.int64), np.zeros(w, np.int64)], mask=np.r_[np.ones(len(words), bool), np.zeros(len(codes), bool), np.ones(w, bool)]),
-            pa.array([*n, *[None] * w], pa.int64()),
+            pa.array([*words, *[None] * len(codes)], pa.binary()),
+            pa.array(np.r_[np.zeros(len(words), np.int64), np.asarray(codes, np.int64)], mask=np.r_[np.ones(len(words), bool), np.zeros(len(codes), bool)]),
+            pa.array(n, pa.int64()),
         ]
-        assert len(cols[2]) == k + w
         return pa.RecordBatch.from_arrays(cols, names=["word", "code", "n"])
 
     def run(batches):
         packed, words, codes, held = Packed(path), Counter(), [], []
-        n_ids, end = packed.sub.n_ids, packed.sub.n_ids - 1
-        docs: list = []
+        n_ids = packed.sub.n_ids
 
         def count():
             words.update(held)
@@ -140,26 +136,16 @@ def _corpus_batches(path: str):
             codes.append(_counted(x[:-1].astype(np.uint32) * np.uint32(n_ids) + x[1:]))
             if len(codes) > 20:
                 codes[:] = [_counted(*map(np.concatenate, zip(*codes)))]
-            windows, at = [], np.flatnonzero(x == end)
-            for d, lo, hi in zip(docs, at[:-1].tolist(), at[1:].tolist()):
-                first = -crc32(str(d).encode()) % TRAIN_EVERY
-                windows += [window_at(x[lo : hi + 1], k) for k in range(first, -(-(hi - lo) // STEP), TRAIN_EVERY)]
             held.clear()
-            docs.clear()
-            return windows
 
         for batch in batches:
-            windows = []
-            for d, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+            for t in text_bytes(batch.column(1)):
                 held += _words(t)
                 held.append(END)
-                docs.append(d)
                 if len(held) > 500_000:
-                    windows += count()
+                    count()
             if held:
-                windows += count()
-            if windows:
-                yield rows(windows=windows)
+                count()
             if len(words) > 300_000:
                 yield rows(words=list(words), n=list(words.values()))
                 words.clear()
@@ -267,20 +253,6 @@ def windows_of_texts(tokens: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.
     return u[begin[:, None] + np.arange(WINDOW)], y.reshape(-1, STEP), at_target
 
 
-PAD = 65535  # stands for no subword in windows of ids
-
-
-def window_at(x: np.ndarray, k: int) -> bytes:
-    """Window k of ``windows_of``, keys and targets, of subword ids as uint16."""
-    lo, hi = k * STEP - (WINDOW - STEP), (k + 1) * STEP
-    out = np.full(WINDOW + STEP, PAD, "<u2")
-    keys = x[max(0, lo) : min(hi, len(x) - 1)]  # the last is no key
-    out[max(0, -lo) : max(0, -lo) + len(keys)] = keys
-    target = x[k * STEP + 1 : hi + 1]
-    out[WINDOW : WINDOW + len(target)] = target
-    return out.tobytes()
-
-
 def _by_entry(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sums of ``rows`` (DIM wide) by the entry, or padding, that ``at`` names."""
     cells = at.reshape(-1, 1) * DIM + np.arange(DIM)
@@ -290,6 +262,15 @@ def _by_entry(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
 _LAG = (np.arange(STEP)[:, None] + WINDOW - STEP) - np.arange(WINDOW)[None, :]
 
 
+class Adam:
+    """What a task's training remembers from step to step."""
+
+    def __init__(self):
+        self.first = {k: np.zeros(s, np.float32) for k, s in Model.SHAPES.items()}
+        self.second = {k: np.zeros(s, np.float32) for k, s in Model.SHAPES.items()}
+        self.rng, self.step = np.random.default_rng(4), 0
+
+
 class Model:
     """Weights in float32; ``params`` are what training changes."""
 
@@ -429,44 +410,52 @@ class Model:
         out["emb"] = (table_e + table_q @ p["wq"].T + table_k @ p["wk"].T + table_v @ p["wv"].T)[:VOCAB]
         return out
 
-    def train(self, keys: np.ndarray, target: np.ndarray, epochs: int = EPOCHS) -> None:
-        """Adam over shuffled windows."""
-        first = {k: np.zeros(s, np.float32) for k, s in self.SHAPES.items()}
-        second = {k: np.zeros(s, np.float32) for k, s in self.SHAPES.items()}
-        rng, step = np.random.default_rng(4), 0
-        for _ in range(epochs):
-            order = rng.permutation(len(keys))
-            for lo in range(0, len(order), BATCH):
-                at, step = order[lo : lo + BATCH], step + 1
-                for k, g in self.gradient(keys[at], target[at]).items():
-                    first[k] += 0.1 * (g - first[k])
-                    second[k] += 0.01 * (g * g - second[k])
-                    self.params[k] = self.params[k] - np.float32(RATE) * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+    def train(self, keys: np.ndarray, target: np.ndarray, state: Adam) -> None:
+        """Adam over the windows, shuffled, each once."""
+        order = state.rng.permutation(len(keys))
+        for lo in range(0, len(order), BATCH):
+            at = order[lo : lo + BATCH]
+            state.step += 1
+            for k, g in self.gradient(keys[at], target[at]).items():
+                first, second = state.first[k], state.second[k]
+                first += 0.1 * (g - first)
+                second += 0.01 * (g * g - second)
+                self.params[k] = self.params[k] - np.float32(RATE) * (first / (1 - 0.9**state.step)) / (np.sqrt(second / (1 - 0.99**state.step)) + 1e-8)
 
 
-def _unpack(rows: list[bytes], entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    entries = np.full(PAD + 1, VOCAB)
-    entries[: len(entry)] = entry
-    x = entries[np.frombuffer(b"".join(rows), "<u2")].reshape(-1, WINDOW + STEP)
-    return x[:, :WINDOW], x[:, WINDOW:]
-
-
-def _train_batches(model: Model, entry: np.ndarray):
-    """Local training on the windows of a task, in parts of bounded size; weighted sums of the weights."""
+def _train_batches(model: Model, entry: np.ndarray, path: str):
+    """Local training on all windows of a task's texts, in parts of bounded size; weights times windows, and windows."""
 
     def run(batches):
-        total, n = np.zeros(len(model.vector())), 0
+        packed, state, n = Packed(path), Adam(), 0
+        own = Model.__new__(Model)
+        own.__dict__.update(model.__dict__)
+        own.params = dict(model.params)
+        held, n_words = [], []
+
+        def learn() -> int:
+            ids = list(map(packed.__getitem__, held))
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+            tokens = entry[np.frombuffer(b"".join(ids), "<u2")]
+            keys, target, _ = windows_of_texts(tokens, np.add.reduceat(size, np.r_[0, np.cumsum(n_words)[:-1]]))
+            own.train(keys, target, state)
+            held.clear()
+            n_words.clear()
+            return len(keys)
+
         for batch in batches:
-            rows = batch.column(0).to_pylist()
-            if rows:
-                own = Model.__new__(Model)
-                own.__dict__.update(model.__dict__)
-                own.params = dict(model.params)
-                own.train(*_unpack(rows, entry))
-                total += own.vector().astype(float) * len(rows)
-                n += len(rows)
+            for t in text_bytes(batch.column(1)):
+                words = _words(t)
+                held.extend(words)
+                held.append(END)
+                n_words.append(len(words) + 1)
+                if len(held) > 200_000:
+                    n += learn()
+        if held:
+            n += learn()
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), n))], names=["i", "v", "n"])
+            v = own.vector().astype(float)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(v), dtype=np.int32)), pa.array(v * n), pa.array(np.full(len(v), n))], names=["i", "v", "n"])
 
     return run
 
@@ -492,7 +481,7 @@ def fit(docs: DataFrame, path: str | None = None) -> Scorer:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     d = d.where(crc_mod("doc_id", FOLDS) != HELD_OUT)
     found = staged(d.mapInArrow(_corpus_batches(path), "word binary, code long, n long"), "lm-corpus")
-    counts = found.where("code is null and n is not null").groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
+    counts = found.where("code is null").groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
     counts = staged(counts.mapInArrow(_id_batches(path), "word binary, c long, ids binary"), "lm-words")
     n, v, size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.col("c") * (F.octet_length("word") + 1)), F.lit(0))).first()
     n_docs = counts.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
@@ -500,12 +489,12 @@ def fit(docs: DataFrame, path: str | None = None) -> Scorer:
     vocabulary = Vocabulary(_dense(counts.select("c", "ids").mapInArrow(_subword_batches(n_ids), "id long, n long"), "id", n_ids))
     pairs = found.where("code is not null").select("code", "n").mapInArrow(_entry_batches(vocabulary.entry), "code long, n long")
     model = Model(vocabulary.unigram, _dense(pairs, "code", VOCAB * VOCAB))
-    windows = found.where("n is null").select(F.col("word").alias("window"))
-    for _ in range(ROUNDS):
-        sums = windows.mapInArrow(_train_batches(model, vocabulary.entry), "i int, v double, n long")
+    turn = F.pmod(F.xxhash64(F.lit(9), "doc_id", "text"), F.lit(ROUNDS))
+    for k in range(ROUNDS):
+        sums = d.where(turn == k).mapInArrow(_train_batches(model, vocabulary.entry, path), "i int, v double, n long")
         mean = sums.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toArrow()
         if not mean.num_rows:
-            break
+            continue
         weights = np.zeros(mean.num_rows)
         weights[mean.column("i").to_numpy()] = mean.column("v").to_numpy()
         model.load(weights)
