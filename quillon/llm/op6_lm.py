@@ -576,11 +576,16 @@ def _score_block(scorer_parts):
     return run
 
 
+def block_of(blocks: int):
+    """Rows are dealt by doc_id and text, so that rows without doc_id, or with one that repeats, spread."""
+    return F.pmod(F.xxhash64(F.lit(8), "doc_id", "text"), F.lit(blocks)).cast("int")
+
+
 def scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = max(1, -(-d.count() * scorer.row_bytes // BLOCK_BYTES))
-    d = d.withColumn("block", F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(blocks)).cast("int"))
+    d = d.withColumn("block", block_of(blocks))
     # as many partitions as a join makes at least, so that the words below come to the texts and not both to a third place
     d = d.repartition(max(blocks, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block")
     # the same rows and columns as below, so that texts are dealt once

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from quillon.llm import op6_lm
+from quillon.llm import op6_lm, op7_mixing
 
 
 def test_every_window_trains():
@@ -30,3 +30,13 @@ def test_trained_weights_beat_untrained_on_held_out_rows(spark):
     other = op6_lm.Scorer(scorer.path, scorer.vocabulary, plain, scorer.counts, scorer.n, scorer.v, scorer.row_bytes)
     score = lambda s: op6_lm.scores(docs, s).where("held_out").agg(F.sum("score")).first()[0]
     assert score(scorer) > score(other)
+
+
+def test_rows_with_null_or_repeated_id_spread(spark):
+    rows = [(None if k % 2 else 7, f"text number {k}") for k in range(200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = d.withColumn("block", op6_lm.block_of(16)).groupBy("doc_id").agg(F.count_distinct("block").alias("n")).collect()
+    assert len(got) == 2 and all(r.n > 10 for r in got)
+    placed, _ = op7_mixing.layout(d.withColumn("source", F.lit("s")))
+    got = placed.groupBy("doc_id").agg(F.count_distinct("bucket").alias("n")).collect()
+    assert len(got) == 2 and all(r.n > 90 for r in got)
