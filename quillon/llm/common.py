@@ -53,3 +53,19 @@ def free_name(wanted: str, taken) -> str:
     while wanted.lower() in low:
         wanted = "_" + wanted
     return wanted
+
+
+def crc32_sql(words: str) -> str:
+    """Common table expressions for DuckDB, which has no crc32: ``crc32`` (word, crc) of the ASCII words that a query of one column gives.
+
+    The register takes one bit a step; the expressions stand in a WITH RECURSIVE.
+    """
+    return f"""crc_bits(word, i, c) AS (
+  SELECT w, 0, 4294967295::BIGINT FROM ({words}) AS t(w)
+  UNION ALL
+  SELECT word, i + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM (
+    SELECT word, i, CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(word, i // 8 + 1, 1))::BIGINT) ELSE c END AS c FROM crc_bits WHERE i < 8 * length(word)
+  )
+), crc32 AS (
+  SELECT word, xor(c, 4294967295) AS crc FROM crc_bits WHERE i = 8 * length(word)
+)"""

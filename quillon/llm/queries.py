@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from quillon.llm import op1_lines, op2_norm_topk, op3_chat, op4_packing, op5_simhash, op6_lm, op7_mixing, op8_warc, op9_quality, op10_hyperplane
+from quillon.llm import op1_lines, op2_norm_topk, op3_chat, op4_packing, op5_simhash, op6_lm, op7_mixing, op8_warc, op9_quality, op10_hyperplane, op12_merkle
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         op8_warc.op8_warc_salvage,
         op9_quality.op9_quality_trees,
         op10_hyperplane.op10_hyperplane_near_dedup,
+        op12_merkle.op12_merkle_slot_pivot,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
@@ -30,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_chat_prefix_targets": op3_chat.ORACLE,
         "op8_warc_salvage": op8_warc.ORACLE,
         "op10_hyperplane_near_dedup": op10_hyperplane.ORACLE,
+        "op12_merkle_slot_pivot": op12_merkle.ORACLE,
     }
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
