@@ -37,15 +37,18 @@ def ranged(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name:
     return df.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
-def running_sums(table: DataFrame, sums: Mapping[str, Column], group: Sequence[str] = ()) -> DataFrame:
+def running_sums(table: DataFrame, sums: Mapping[str, Column], group: Sequence[str] = (), xor: bool = False) -> DataFrame:
     """Adds to a ``ranged`` table, per new column, the sum over the rows of the group that come before (0 for the first).
 
-    ``group`` must be the one the table was made with and hold no nulls.
+    ``group`` must be the one the table was made with and hold no nulls. ``xor`` adds bit by bit
+    without carry, which cannot overflow.
     """
-    totals = table.groupBy(PART, *group).agg(*[F.sum(v).alias(f"total_{n}") for n, v in sums.items()])
+    total = F.bit_xor if xor else F.sum
+    add = (lambda x, y: x.bitwiseXOR(y)) if xor else (lambda x, y: x + y)
+    totals = table.groupBy(PART, *group).agg(*[total(v).alias(f"total_{n}") for n, v in sums.items()])
     earlier = Window.partitionBy(*group).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(PART, *group, *[F.coalesce(F.sum(f"total_{n}").over(earlier), F.lit(0)).alias(f"offset_{n}") for n in sums])
+    offsets = totals.select(PART, *group, *[F.coalesce(total(f"total_{n}").over(earlier), F.lit(0)).alias(f"offset_{n}") for n in sums])
     inside = Window.partitionBy(PART, *group).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
-    local = table.select("*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"local_{n}") for n, v in sums.items()])
+    local = table.select("*", *[F.coalesce(total(v).over(inside), F.lit(0)).alias(f"local_{n}") for n, v in sums.items()])
     out = local.join(offsets, [PART, *group])
-    return out.select(*[c for c in table.columns if c not in (PART, AT)], *[(F.col(f"offset_{n}") + F.col(f"local_{n}")).alias(n) for n in sums])
+    return out.select(*[c for c in table.columns if c not in (PART, AT)], *[add(F.col(f"offset_{n}"), F.col(f"local_{n}")).alias(n) for n in sums])

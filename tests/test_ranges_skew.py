@@ -28,6 +28,15 @@ def test_running_sums_by_group_and_whole(spark):
     assert sorted(r.n for r in whole) == list(range(len(rows)))
 
 
+def test_running_xor(spark):
+    df = spark.createDataFrame([("g", k, (k * 2**40) ^ (k << 3) ^ -(2**62)) for k in range(50)], "g string, o long, v long").repartition(5)
+    got = sorted((r.o, r.x) for r in running_sums(ranged(df, ["o"], ["g"]), {"x": F.col("v")}, ["g"], xor=True).collect())
+    want = 0
+    for k, x in got:
+        assert x == want
+        want ^= (k * 2**40) ^ (k << 3) ^ -(2**62)
+
+
 def test_equal_values_spread_over_ranges(spark):
     df = spark.range(0, 20_000, numPartitions=8).select(F.lit("one").alias("g"), F.lit(1).alias("o"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
