@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from quillon.llm import op1_lines, op2_norm_topk, op3_chat, op4_packing, op5_simhash, op6_lm, op7_mixing, op8_warc, op9_quality, op10_hyperplane, op12_merkle
+from quillon.llm import op1_lines, op2_norm_topk, op3_chat, op4_packing, op5_simhash, op6_lm, op7_mixing, op8_warc, op9_quality, op10_hyperplane, op12_merkle, op13_prefix_trie
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         op9_quality.op9_quality_trees,
         op10_hyperplane.op10_hyperplane_near_dedup,
         op12_merkle.op12_merkle_slot_pivot,
+        op13_prefix_trie.op13_prefix_trie_bands,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
@@ -32,5 +33,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_warc_salvage": op8_warc.ORACLE,
         "op10_hyperplane_near_dedup": op10_hyperplane.ORACLE,
         "op12_merkle_slot_pivot": op12_merkle.ORACLE,
+        "op13_prefix_trie_bands": op13_prefix_trie.ORACLE,
     }
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
