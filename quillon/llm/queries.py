@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from quillon.llm import op1_lines, op2_norm_topk, op3_chat, op4_packing, op5_simhash, op6_lm, op7_mixing, op8_warc, op9_quality, op10_hyperplane, op12_merkle, op13_prefix_trie
+from quillon.llm import op1_lines, op2_norm_topk, op3_chat, op4_packing, op5_simhash, op6_lm, op7_mixing, op8_warc, op9_quality, op10_hyperplane, op11_line_crf, op12_merkle, op13_prefix_trie
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         op8_warc.op8_warc_salvage,
         op9_quality.op9_quality_trees,
         op10_hyperplane.op10_hyperplane_near_dedup,
+        op11_line_crf.op11_line_crf_rules,
         op12_merkle.op12_merkle_slot_pivot,
         op13_prefix_trie.op13_prefix_trie_bands,
     ]
@@ -25,7 +26,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    """No SQL: tokenizers (4), XXH64 (5), trained models (6, 9), hashed draws (7)."""
+    """No SQL: tokenizers (4), XXH64 (5), trained models (6, 9, 11), hashed draws (7)."""
     sql = {
         "op1_line_dedup": op1_lines.ORACLE,
         "op2_norm_bucketed_topk": op2_norm_topk.ORACLE,
