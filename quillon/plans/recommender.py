@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quillon import session as S
 from quillon.operators import activity, lookup, metrics, rank, split
+from quillon.operators.ledger import Ledger, data_mark
 from quillon.sources import standins, text
 
 TOP_N = 50
@@ -301,6 +302,16 @@ def _list_metrics(train: DataFrame, test: DataFrame, model) -> list[tuple[str, f
     return [(k, float(v) if v is not None else None) for k, v in rows]
 
 
+def _als_grid(train: DataFrame, axes) -> list[tuple[int, float, float, float]]:
+    """The grid over the folds of ``train``, by a ledger that all jobs over the same rows share."""
+    from quillon.operators import recommend
+
+    rows = train.select("user_id", "item_id", "plays", "fold")
+    settings = {"folds": GRID_FOLDS, "n": TOP_N, "max_iter": ALS_PARAMS["max_iter"], "seed": ALS_PARAMS["seed"]}
+    ledger = Ledger(train.sparkSession, "als", data_mark(rows), settings)
+    return recommend.grid_search(rows, "fold", GRID_FOLDS, *axes, n=TOP_N, max_iter=ALS_PARAMS["max_iter"], seed=ALS_PARAMS["seed"], ledger=ledger)
+
+
 def q_recommender_job(spark: SparkSession, sf_dir: str, axes=ALS_REFERENCE_GRID) -> DataFrame:
     """The whole recommender job in one run: one cached split, the grid over its training folds,
     the best point fitted on all training rows, its metrics on the test rows, and the profile
@@ -316,7 +327,7 @@ def q_recommender_job(spark: SparkSession, sf_dir: str, axes=ALS_REFERENCE_GRID)
         recommend.check_int_ids(s)
         c = s.agg(F.count_if(F.col("part") == "train"), F.count_if(F.col("part") == "test"), F.count_distinct("user_id")).first()
         out = [("counts", k, float(v), None) for k, v in zip(("train_rows", "test_rows", "users"), c)]
-        grid = recommend.grid_search(train, "fold", GRID_FOLDS, *axes, n=TOP_N)
+        grid = _als_grid(train, axes)
         out += [("grid", f"rank={r} reg={lam} alpha={a}", auc, None) for r, lam, a, auc in grid]
         best = dict(zip(("rank", "reg", "alpha"), recommend.pick_best(grid)))
         out += [("best", k, float(v), None) for k, v in best.items()]
@@ -339,10 +350,11 @@ def q_als_grid(spark: SparkSession, sf_dir: str, axes=ALS_REFERENCE_GRID) -> Dat
     Over the 27 points of ``ALS_REFERENCE_GRID``, or of ``axes``."""
     from quillon.operators import recommend
 
-    train, _ = _als_parts(spark, sf_dir)
-    folded = split.with_fold(train, "row_a", "row_b", k=GRID_FOLDS).persist()
+    s = split.with_fold(split_ratings(spark, sf_dir), "row_a", "row_b", k=GRID_FOLDS)
+    folded = s.filter(F.col("part") == "train").persist()
     try:
-        res = recommend.grid_search(folded, "fold", GRID_FOLDS, *axes, n=TOP_N)
+        recommend.check_int_ids(folded)
+        res = _als_grid(folded, axes)
     finally:
         folded.unpersist()
     best = recommend.pick_best(res)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from quillon import session as S
 from quillon.functions.hashing import FOLD, HOLDOUT, fold_of, fraction_below, portable_hash
 from quillon.operators import clean, features, metrics, models, tune
+from quillon.operators.ledger import Ledger, data_mark
 from quillon.sources import csv as csvsrc
 from quillon.sources import sinks
 from quillon.sources import standins
@@ -165,7 +166,7 @@ def _with_tuning_parts(rows: DataFrame) -> DataFrame:
 
 
 def _prepared(spark, sf_dir, label_col: str):
-    """Feature stages fitted once on train; assembled train / test frames (cached by caller)."""
+    """Feature stages fitted once on train; the assembled train rows (cached, released by the caller) and test rows."""
     train, test = _train_test(spark, sf_dir)
     categorical = CATEGORICAL
     if label_col == LABEL_BAND:  # the second label's job takes the first as a feature and has a not-null filter of its own
@@ -175,11 +176,17 @@ def _prepared(spark, sf_dir, label_col: str):
     train = train.persist()
     try:
         prep, train_a = tune.prepare_once(models.feature_pipeline(NUMERIC, categorical, label_col), train)
-        train_a = _with_tuning_parts(train_a)
+        train_a = _with_tuning_parts(train_a).select("row_a", "row_b", "features", "label", "fold", "tvs_train").persist()
+        train_a.count()  # while the joined rows are still cached; the caller releases these
     finally:
         train.unpersist()
-    cols = ["row_a", "row_b", "features", "label", "fold", "tvs_train"]
-    return prep, train_a.select(*cols), prep.transform(test).select("row_a", "row_b", "features", "label")
+    return prep, train_a, prep.transform(test).select("row_a", "row_b", "features", "label")
+
+
+def _ledger(estimator, rows: DataFrame, parts: str) -> Ledger:
+    """The scores of an estimator's grid over these rows and folds, shared by all jobs that search it."""
+    settings = {"seed": estimator.getSeed(), "parts": parts, "folds": FOLDS}
+    return Ledger(rows.sparkSession, type(estimator).__name__, data_mark(rows.select("features", "label", parts)), settings)
 
 
 def _report_rows(name: str, best: dict, test_metrics: DataFrame) -> list:
@@ -193,16 +200,15 @@ REPORT_SCHEMA = "model string, item string, value double, text string"
 
 def _dt_tuned(spark, sf_dir, method: str, grid_axes: dict | None = None, name: str | None = None):
     prep, train_a, test_a = _prepared(spark, sf_dir, LABEL_YN)
-    train_a = train_a.persist()
     name = name or f"dt_{method}"
     try:
         dt = models.decision_tree()
         grid = tune.grid(dt, **(grid_axes or DT_REFERENCE_GRID))
         ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
         if method == "cv":
-            best, scores = tune.cross_validate(dt, grid, ev, train_a, "fold", FOLDS)
+            best, scores = tune.cross_validate(dt, grid, ev, train_a, "fold", FOLDS, ledger=_ledger(dt, train_a, "fold"))
         else:
-            best, scores = tune.train_validation_split(dt, grid, ev, train_a, "tvs_train")
+            best, scores = tune.train_validation_split(dt, grid, ev, train_a, "tvs_train", ledger=_ledger(dt, train_a, "tvs_train"))
         pred = best.transform(test_a).select("prediction", "label", "rawPrediction", "probability").persist()
         test_auc = ev.evaluate(pred)
         train_auc = ev.evaluate(best.transform(train_a))
@@ -242,7 +248,6 @@ def q_dt_cv(spark: SparkSession, sf_dir: str, grid_axes: dict | None = None) ->
 
 def _gbt_rows(spark, sf_dir):
     prep, train_a, test_a = _prepared(spark, sf_dir, LABEL_BAND)
-    train_a = train_a.persist()
     try:
         model = models.gbt_one_vs_rest(max_depth=6, max_iter=10).fit(train_a)
         rep = metrics.multiclass_report(model.transform(test_a), "prediction", "label")
@@ -253,11 +258,11 @@ def _gbt_rows(spark, sf_dir):
 
 def _rf_rows(spark, sf_dir, grid_axes: dict | None = None):
     prep, train_a, test_a = _prepared(spark, sf_dir, LABEL_BAND)
-    train_a = train_a.persist()
     try:
         rf = models.random_forest()
         ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
-        best, _ = tune.cross_validate(rf, tune.grid(rf, **(grid_axes or RF_REFERENCE_GRID)), ev, train_a, "fold", FOLDS)
+        grid = tune.grid(rf, **(grid_axes or RF_REFERENCE_GRID))
+        best, _ = tune.cross_validate(rf, grid, ev, train_a, "fold", FOLDS, ledger=_ledger(rf, train_a, "fold"))
         bp = tune.best_params(best, ["numTrees", "maxDepth", "maxBins", "impurity"])
         rep = metrics.multiclass_report(best.transform(test_a), "prediction", "label")
         # overall rows, then precision / recall of every label (labels in ascending order)
