@@ -26,6 +26,20 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], share: int = SHARE, least: in
     return hot.select(*keys, "heavy_n")
 
 
+def heavy_lists(df: DataFrame, columns: Sequence[str], share: int = SHARE, least: int = LEAST_ROWS) -> dict[str, DataFrame]:
+    """``heavy_keys`` of several long columns in one pass over ``df``, as literal rows (fewer than ``share`` a column).
+
+    For jobs that need the lists in several joins: their input is read once more, not once a join.
+    """
+    one = [F.struct(F.lit(c).alias("of"), F.col(c).cast("long").alias("key")) for c in columns]
+    counts = df.select(F.explode(F.array(*one)).alias("k")).groupBy("k.of", "k.key").agg(F.count(F.lit(1)).alias("heavy_n"))
+    total = counts.groupBy("of").agg(F.sum("heavy_n").alias("heavy_total")).withColumnRenamed("of", "total_of")
+    hot = counts.where("key is not null").join(F.broadcast(total), F.col("of") == F.col("total_of"))
+    found = hot.where((F.col("heavy_n") * share > F.col("heavy_total")) & (F.col("heavy_n") > least)).collect()
+    spark = df.sparkSession
+    return {c: spark.createDataFrame([(r.key, r.heavy_n) for r in found if r.of == c], f"`{c}` long, heavy_n long") for c in columns}
+
+
 def salted_join(
     facts: DataFrame,
     lookup: DataFrame,

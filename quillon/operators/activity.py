@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.functions.sizing import checked_broadcast
+from quillon.functions.skew import salted_join
 
 
 def activity_counts(ratings: DataFrame, key: str = "user_id", item: str = "item_id") -> DataFrame:
@@ -29,6 +29,6 @@ def active_keys(ratings: DataFrame, threshold: int, key: str = "user_id", by: st
     return counts.filter(F.col("n") >= threshold).select(key)
 
 
-def keep_keys(ratings: DataFrame, keys: DataFrame, key: str = "user_id", max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Left-semi join: rows whose key is in ``keys`` (broadcast only if counted small)."""
-    return ratings.join(checked_broadcast(keys, max_broadcast_rows), key, "left_semi")
+def keep_keys(ratings: DataFrame, keys: DataFrame, key: str = "user_id", hot: DataFrame | None = None) -> DataFrame:
+    """Left-semi join: rows whose key is in ``keys``; keys with a large share of the rows are salted."""
+    return salted_join(ratings, keys.select(key).distinct(), [key], "left_semi", hot)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.functions.sizing import checked_broadcast
+from quillon.functions.skew import salted_join
 
 # Fixed value: the name shown for an id without a name.
 UNKNOWN_NAME = "Unknown Artist"
@@ -36,21 +36,21 @@ def resolve_aliases(
     out_col: str = "item_id",
     alias_col: str = "alias_id",
     canonical_col: str = "canonical_id",
-    max_broadcast_rows: int = 2_000_000,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Replace each item id by its canonical id when the alias table has one.
 
-    The alias table is de-duplicated per alias, then broadcast only if counted
-    below ``max_broadcast_rows``; larger tables use a shuffle join.
+    The alias table is de-duplicated per alias. Items with a large share of the rows are salted over
+    copies of their alias row (``salted_join``); ``hot`` names them where the caller has them.
     """
     amap = dedupe_lookup(aliases.select(alias_col, canonical_col), alias_col, canonical_col)
-    amap = checked_broadcast(amap, max_broadcast_rows)
-    j = ratings.join(amap, ratings[item_col] == amap[alias_col], "left")
+    amap = amap.select(F.col(alias_col).alias(item_col), F.col(canonical_col).alias("_canonical"))
+    j = salted_join(ratings, amap.where(F.col(item_col).isNotNull()), [item_col], "left", hot)
     cols = [c for c in ratings.columns if c != item_col]
     return j.select(
-        *[ratings[c] for c in cols[:1]],
-        F.coalesce(amap[canonical_col], ratings[item_col]).alias(out_col),
-        *[ratings[c] for c in cols[1:]],
+        *cols[:1],
+        F.coalesce("_canonical", item_col).alias(out_col),
+        *cols[1:],
     )
 
 

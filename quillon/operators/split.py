@@ -6,17 +6,17 @@ recomputed partition (after an executor loss) lands in the same split.
 ``per_key_split`` is the per-user shuffled 80/20 split: each user's rows are
 ordered by a portable hash of the row identity and the first
 ``floor(n * num / den)`` go to train. A window over the whole user would put a
-user with a third of all rows into one task, so the order is computed in two
-levels:
+user with a third of all rows into one task, so heavy users (each with more than a
+thousandth of all rows, hence under a thousand of them) are cut into buckets by hash:
 
-1. the hash's top 16 bits are a *bucket* (65,536 per user at most);
-   per-(user, bucket) counts are an aggregate with partial aggregation,
-2. a window over those counts (at most 65,536 rows per user) gives the number
-   of the user's rows in earlier buckets,
-3. a window partitioned by (user, bucket) ranks rows inside a bucket.
+1. one partial count finds the heavy users; a user's bucket count follows the user's
+   rows (about a thousandth of all rows a bucket, 1 bucket for all light users),
+2. a window partitioned by (user, bucket) ranks rows inside a bucket,
+3. a window over the bucket counts of a user gives the number of rows in earlier buckets;
+   that table has one row a light user, and ``BUCKETS`` rows a heavy one at most.
 
 rank = rows in earlier buckets + rank in bucket, the exact rank of the row in
-the user's hash order. A hot user is spread over 65,536 window groups.
+the user's hash order.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.functions.hashing import FOLD, SPLIT, fold_of, fraction_below, portable_hash
+from quillon.functions.hashing import FOLD, HASH_MOD, SPLIT, fold_of, fraction_below, portable_hash
+from quillon.functions.skew import LEAST_ROWS, heavy_keys
 
-BUCKET_SHIFT = 65536  # h // 65536 -> bucket in [0, 65536)
+BUCKETS = 4096  # at most so many a heavy user
 
 
 def hash_split(df: DataFrame, key: str, other: str | None = None, train_num: int = 4, train_den: int = 5) -> DataFrame:
@@ -76,18 +77,26 @@ def per_key_split(
     train_num: int = 4,
     train_den: int = 5,
     tie_breakers: tuple[str, ...] = (),
+    hot: DataFrame | None = None,
+    least_rows: int = LEAST_ROWS,
 ) -> DataFrame:
     """Adds ``rn`` (1-based rank in the key's hash order), ``n`` and ``part``.
 
     Order: hash of (row_a, row_b), then row_a, row_b, then ``tie_breakers``
     (row identities need not be unique). ``part`` is 'train' when
-    rn <= floor(n * train_num / train_den).
+    rn <= floor(n * train_num / train_den). ``hot`` has the heavy keys with their counts
+    (``heavy_keys``; found by one count if not given), cut into buckets of about ``least_rows``.
     """
     h = portable_hash(row_a, row_b, SPLIT)
-    rows = df.withColumn("_h", h).withColumn("_b", F.floor(F.col("_h") / BUCKET_SHIFT).cast("int"))
     # stated once here (the join below would infer it on one branch only), so
     # both uses of `ranked` share one shuffle and the input is scanned once
-    rows = rows.filter(F.col(key).isNotNull() & F.col("_b").isNotNull())
+    rows = df.withColumn("_h", h).filter(F.col(key).isNotNull() & F.col("_h").isNotNull())
+    if hot is None:
+        hot = heavy_keys(df, [key])
+    # under SHARE rows: fewer than that many keys hold more than 1/SHARE of all rows each
+    cuts = hot.select(F.col(key), F.least(F.ceil(F.col("heavy_n") / least_rows), F.lit(BUCKETS)).cast("long").alias("_cuts"))
+    rows = rows.join(F.broadcast(cuts), key, "left")
+    rows = rows.withColumn("_b", F.floor(F.col("_h") * F.coalesce("_cuts", F.lit(1).cast("long")) / F.lit(float(HASH_MOD))).cast("int"))
     w_in = Window.partitionBy(key, "_b").orderBy("_h", row_a, row_b, *tie_breakers)
     ranked = rows.withColumn("_rin", F.row_number().over(w_in))
     # bucket sizes come from the ranked rows: they are already partitioned by

@@ -193,6 +193,12 @@ def rule_sql() -> dict[str, str]:
                  WHERE l.user_id IN (SELECT user_id FROM acts))"""
     return {
         "rule_top10": f"{base} SELECT user_id, rank, item_id, round(score, 6) AS score FROM lists",
+        "rule_unseen_top10": f"""{base},
+            seen AS (SELECT DISTINCT user_id, item_id FROM train), popular AS (SELECT item_id, count(*) AS n FROM train GROUP BY item_id)
+            SELECT user_id, rank, item_id FROM (
+              SELECT u.user_id, p.item_id, row_number() OVER (PARTITION BY u.user_id ORDER BY p.n DESC, p.item_id) AS rank
+              FROM (SELECT DISTINCT user_id FROM train) u CROSS JOIN popular p
+              WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = u.user_id AND s.item_id = p.item_id)) WHERE rank <= 10""",
         "rule_labels": f"{base} SELECT user_id, rank, item_id, label FROM rule",
         # of a user's pairs of a hit and a miss, the share with the hit in front
         "rule_user_auc": f"""{base}

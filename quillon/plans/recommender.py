@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon import session as S
+from quillon.functions.skew import heavy_lists
 from quillon.operators import activity, lookup, metrics, rank, split
 from quillon.operators.ledger import Ledger, data_mark
 from quillon.sources import standins, text
@@ -22,14 +23,21 @@ from quillon.sources import standins, text
 TOP_N = 50
 
 
+def _resolved(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(ratings with items mapped to canonical ids, their heavy users); heavy users and items are found in one pass."""
+    r = standins.ratings(spark, sf_dir)
+    hot = heavy_lists(r, ["user_id", "item_raw"])
+    return lookup.resolve_aliases(r, standins.aliases(spark, sf_dir), hot=hot["item_raw"]), hot["user_id"]
+
+
 def resolved_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, item_id, plays, row_a, row_b) with items mapped to canonical ids."""
-    return lookup.resolve_aliases(standins.ratings(spark, sf_dir), standins.aliases(spark, sf_dir))
+    return _resolved(spark, sf_dir)[0]
 
 
 def active_ratings(spark: SparkSession, sf_dir: str, threshold: int = standins.ACTIVE_THRESHOLD) -> DataFrame:
-    r = resolved_ratings(spark, sf_dir)
-    return activity.keep_keys(r, activity.active_keys(r, threshold, "user_id"), "user_id")
+    r, hot = _resolved(spark, sf_dir)
+    return activity.keep_keys(r, activity.active_keys(r, threshold, "user_id"), "user_id", hot)
 
 
 def split_ratings(spark: SparkSession, sf_dir: str, threshold: int = standins.ACTIVE_THRESHOLD) -> DataFrame:
@@ -40,9 +48,8 @@ def split_ratings(spark: SparkSession, sf_dir: str, threshold: int = standins.AC
     semi-join pass over the ratings is needed; the result equals splitting the
     output of ``active_ratings``.
     """
-    s = split.per_key_split(
-        resolved_ratings(spark, sf_dir), "user_id", "row_a", "row_b", tie_breakers=("item_id", "plays")
-    )
+    r, hot = _resolved(spark, sf_dir)
+    s = split.per_key_split(r, "user_id", "row_a", "row_b", tie_breakers=("item_id", "plays"), hot=hot)
     return s.filter(F.col("n") >= threshold)
 
 

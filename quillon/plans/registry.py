@@ -33,6 +33,7 @@ def queries() -> dict[str, Query]:
         "popularity_at_50": R.q_popularity_at_50,
         "name_search": R.q_name_search,
         "rule_top10": L.q_rule_top10,
+        "rule_unseen_top10": L.q_rule_unseen_top10,
         "rule_labels": L.q_rule_labels,
         "rule_user_auc": L.q_rule_user_auc,
         "rule_pooled_auc": L.q_rule_pooled_auc,

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from quillon import session as S
 from quillon.functions.hashing import HASH_MOD, portable_hash
-from quillon.operators import lookup, rank, recommend
+from quillon.functions.ranges import ranged, running_sums
+from quillon.operators import lookup, rank, recommend, unseen
 from quillon.plans.recommender import split_ratings
 from quillon.sources import standins, text
 
@@ -34,6 +35,18 @@ def q_rule_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parts(spark, sf_dir)[2].select("user_id", "rank", "item_id", F.round("score", 6).alias("score"))
 
 
+def q_rule_unseen_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M20 with ``exclude_seen``: each active user's ten most popular items that the user's training rows lack."""
+    train = split_ratings(spark, sf_dir).filter(F.col("part") == "train").select("user_id", "item_id").persist()
+    try:
+        counts = train.groupBy("item_id").agg((-F.count(F.lit(1))).alias("less"))
+        places = running_sums(ranged(counts, ["less", "item_id"], name="popular"), {"place": F.lit(1).cast("long")})
+        every = places.select((F.col("place") + 1).alias("rank"), "item_id")
+        return S.reliable_checkpoint(unseen.unseen_of_list(every, train, train, LIST_N))
+    finally:
+        train.unpersist()
+
+
 def q_rule_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F9 + J3: the lists with 1.0 where the item is among the user's held-out items."""
     _, test, lists = _parts(spark, sf_dir)
