@@ -3,15 +3,15 @@
 Spark's ``Imputer`` uses approximate quantiles (relative error 0.001 by
 default); with relative error 0 it keeps every value in one summary, which
 does not scale. ``exact_quantiles`` finds the exact lower quantile (the value
-at rank ceil(q * n), as SQL ``quantile_disc``) in a few passes:
+at rank ceil(q * n), as SQL ``quantile_disc``) by radix selection, one way for every size:
 
-1. an approximate quantile bracket [lo, hi] around the target rank,
-2. one aggregate counts values below lo and inside the bracket,
-3. when the bracket holds at most ``max_candidates`` values, the distinct
-   values inside it are ranked by a window partitioned by column (bounded),
-   otherwise the bracket is narrowed again.
+1. a double becomes a 64-bit integer with the same order (``order_key``),
+2. a pass counts the values by their leading 16 bits, all columns at once: a partial
+   aggregate of at most 65,536 bins a column, whatever the number of rows or of equal values,
+3. the bin that holds the wanted rank fixes these bits; the next pass counts the next 16 bits
+   of the values in that bin. Four passes fix all bits; a bin with one value ends earlier.
 
-All columns are handled together in each pass. Null and NaN are missing.
+Null and NaN are missing; -0.0 equals 0.0; infinities are values.
 """
 
 from __future__ import annotations
@@ -19,133 +19,78 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Exponents of normal doubles go from 1 - BIAS to BIAS; below, doubles are multiples of LEAST; infinity has the exponent BIAS + 1.
+BIAS, MANTISSA, LEAST, DIGIT = 1023, 52, 2.0**-1074, 16
+
 
 def _clean(c: str):
     return F.when(~F.isnan(F.col(c)), F.col(c).cast("double"))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    q: float = 0.5,
-    accuracy: int = 10_000,
-    max_candidates: int = 1_000_000,
-    max_rounds: int = 8,
-) -> dict[str, float]:
-    cols = list(cols)
-    d = 2.0 / accuracy
-    # pass 1: counts and a first approximate bracket around the target, in one job
-    first = df.agg(
-        *[F.count(_clean(c)).alias(f"{c}__n") for c in cols],
-        *[F.percentile_approx(_clean(c), [max(0.0, q - d), min(1.0, q + d)], accuracy).alias(f"{c}__b") for c in cols],
-    ).first()
-    n = {c: int(first[f"{c}__n"]) for c in cols}
-    empty = [c for c in cols if n[c] == 0]
-    if empty:
-        raise ValueError(f"surrogate cannot be computed: no values in {empty}")
-    k = {c: max(1, math.ceil(q * n[c])) for c in cols}
-    lo = {c: float(first[f"{c}__b"][0]) for c in cols}
-    hi = {c: float(first[f"{c}__b"][1]) for c in cols}
-    result: dict[str, float] = {}
-    # When the approximate bracket is provably small (rank error n / accuracy on each
-    # side), pick directly: values below the bracket are emitted as one sentinel per
-    # column, so the running count already starts at the right offset (two passes).
-    direct = [c for c in cols if n[c] * 8 <= max_candidates * accuracy]
-    if direct:
-        result.update(_pick_with_below(df, direct, lo, hi, k))
-    pending = [c for c in cols if c not in result]
-    if not pending:
-        return result
-    for _ in range(max_rounds):
-        aggs = []
-        for c in pending:
-            v = _clean(c)
-            aggs += [
-                F.count_if(v < F.lit(lo[c])).alias(f"{c}__below"),
-                F.count_if(v.between(F.lit(lo[c]), F.lit(hi[c]))).alias(f"{c}__inside"),
-            ]
-        row = df.agg(*aggs).first()
-        below = {c: int(row[f"{c}__below"]) for c in pending}
-        inside = {c: int(row[f"{c}__inside"]) for c in pending}
-        # an approximate bracket that missed the target rank is widened to everything
-        missed = [c for c in pending if not (below[c] < k[c] <= below[c] + inside[c])]
-        for c in missed:
-            lo[c], hi[c] = -math.inf, math.inf
-            below[c], inside[c] = 0, n[c]
-        small = [c for c in pending if inside[c] <= max_candidates]
-        if small:
-            result.update(_pick_in_brackets(df, small, lo, hi, {c: k[c] - below[c] for c in small}))
-        big = [c for c in pending if c not in small]
-        if not big:
-            return result
-        # narrow: approximate quantile of the target's relative rank inside the bracket
-        aggs = []
-        for c in big:
-            p = (k[c] - below[c]) / inside[c]
-            d = 2.0 / accuracy
-            v = F.when(_clean(c).between(F.lit(lo[c]), F.lit(hi[c])), _clean(c))
-            aggs.append(F.percentile_approx(v, [max(0.0, p - d), min(1.0, p + d)], accuracy).alias(c))
-        row = df.agg(*aggs).first()
-        for c in big:
-            a, b = row[c]
-            lo[c], hi[c] = float(a), float(b)
-        pending = big
-    # rounds exhausted (pathological data): the last brackets are picked anyway
-    result.update(_pick_in_brackets(df, pending, lo, hi, None, k=k))
-    return result
-
-
-def _pick_with_below(df, cols, lo, hi, k) -> dict[str, float]:
-    """Exact value at global rank k[c] when it lies in [lo, hi]; columns whose
-    bracket missed the rank are left out (the caller falls back)."""
-    below = float("-inf")
-    emitted = [
-        F.when(_clean(c) < F.lit(lo[c]), F.struct(F.lit(c).alias("name"), F.lit(below).alias("v")))
-        .when(_clean(c) <= F.lit(hi[c]), F.struct(F.lit(c).alias("name"), _clean(c).alias("v")))
-        for c in cols
-    ]
-    long = df.select(F.explode(F.array_compact(F.array(*emitted))).alias("x")).select("x.name", "x.v")
-    grouped = long.groupBy("name", "v").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("name").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    target = F.lit(None).cast("bigint")
-    for c in cols:
-        target = F.when(F.col("name") == c, F.lit(k[c])).otherwise(target)
-    picked = (
-        grouped.withColumn("cum", F.sum("c").over(w))
-        .filter(F.col("cum") >= target)
-        .groupBy("name")
-        .agg(F.min("v").alias("v"))
-        .collect()  # one row per column at most
-    )
-    return {r["name"]: float(r["v"]) for r in picked if r["v"] is not None and r["v"] != below}
-
-
-def _pick_in_brackets(df, cols, lo, hi, local_rank, k=None) -> dict[str, float]:
-    if local_rank is None:  # compute ranks relative to the bracket from global counts
-        row = df.agg(*[F.count_if(_clean(c) < F.lit(lo[c])).alias(c) for c in cols]).first()
-        local_rank = {c: k[c] - int(row[c]) for c in cols}
-    # one scan: only the (column, value) pairs inside a column's bracket are emitted
-    inside = [
-        F.when(_clean(c).between(F.lit(lo[c]), F.lit(hi[c])), F.struct(F.lit(c).alias("name"), _clean(c).alias("v")))
-        for c in cols
-    ]
-    long = df.select(F.explode(F.array_compact(F.array(*inside))).alias("x")).select("x.name", "x.v")
-    grouped = long.groupBy("name", "v").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("name").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    target = F.lit(None).cast("bigint")
-    for c in cols:
-        target = F.when(F.col("name") == c, F.lit(local_rank[c])).otherwise(target)
-    picked = (
-        grouped.withColumn("cum", F.sum("c").over(w))
-        .filter(F.col("cum") >= target)
-        .groupBy("name")
-        .agg(F.min("v").alias("v"))
-        .collect()  # one row per column
-    )
-    return {r["name"]: float(r["v"]) for r in picked}
+def order_key(x: Column) -> Column:
+    """A bigint that orders like the double ``x``: sign, exponent and mantissa, taken by exact arithmetic."""
+    size = F.abs(x)
+    two = F.lit(2.0)
+    near = F.floor(F.log2(size)).cast("int")  # off by one at most
+    near = F.when(F.pow(two, near) > size, near - 1).when((near < BIAS) & (F.pow(two, near + 1) <= size), near + 1).otherwise(near)
+    fraction = ((size / F.pow(two, near) - 1) * F.lit(2.0**MANTISSA)).cast("bigint")
+    normal = (near + BIAS).cast("bigint") * F.lit(1 << MANTISSA) + fraction
+    infinite = F.lit((2 * BIAS + 1) << MANTISSA)
+    key = F.when(size < 2.0 ** (1 - BIAS), (size / F.lit(LEAST)).cast("bigint")).when(size == float("inf"), infinite).otherwise(normal)
+    return F.when(x < 0, -key).otherwise(key)
+
+
+def value_of(key: int) -> float:
+    """The double whose ``order_key`` is ``key``."""
+    exponent, fraction = divmod(abs(key), 1 << MANTISSA)
+    if exponent == 2 * BIAS + 1:
+        size = math.inf
+    elif exponent:
+        size = math.ldexp(1 + fraction / (1 << MANTISSA), exponent - BIAS)
+    else:
+        size = fraction * LEAST
+    return -size if key < 0 else size
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5) -> dict[str, float]:
+    """The value at rank ceil(q * n) of each column; an error if a column has no values.
+
+    Reads ``df`` up to four times (cache it).
+    """
+    found: dict[str, float] = {}
+    bits: dict[str, tuple[int, int]] = {}  # leading bits of the wanted value, and its rank among the values that have them
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        emitted = []
+        for c in [c for c in cols if c not in found]:
+            key = order_key(_clean(c))
+            inside = key.isNotNull()
+            if c in bits:
+                inside = F.shiftright(key, shift + DIGIT) == bits[c][0]
+            emitted.append(F.when(inside, F.struct(F.lit(c).alias("name"), key.alias("key"))))
+        one = df.select(F.explode(F.array_compact(F.array(*emitted))).alias("x")).select("x.name", "x.key")
+        bins = one.groupBy("name", F.shiftright("key", shift).alias("bits")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        # 65,536 bins a column at most
+        up_to = Window.partitionBy("name").orderBy("bits").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rank = F.greatest(F.ceil(F.lit(q) * F.sum("n").over(Window.partitionBy("name"))), F.lit(1))
+        for c, (_, k) in bits.items():
+            rank = F.when(F.col("name") == c, F.lit(k)).otherwise(rank)
+        bins = bins.select("*", F.sum("n").over(up_to).alias("cum"), rank.cast("bigint").alias("rank")).where("cum >= rank")
+        picked = bins.groupBy("name").agg(F.min_by(F.struct("bits", "lo", "hi", "rank", (F.col("cum") - F.col("n")).alias("before")), "bits").alias("b"))
+        for r in picked.collect():  # one row a column
+            if r.b.lo == r.b.hi:
+                found[r.name] = value_of(r.b.lo)
+            else:
+                bits[r.name] = (r.b.bits, r.b.rank - r.b.before)
+        empty = [c for c in cols if c not in found and c not in bits]
+        if empty:
+            raise ValueError(f"surrogate cannot be computed: no values in {empty}")
+        bits = {c: b for c, b in bits.items() if c not in found}
+        if not bits:
+            break
+    return {c: found[c] for c in cols}
 
 
 def fill_with(df: DataFrame, surrogates: dict[str, float], suffix: str = "_imputed") -> DataFrame:
