@@ -23,9 +23,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _strip(text: Column) -> Column:
-    """Without white space of any kind at either end."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+def strip_ws(text) -> Column:
+    """Without white space (blank, tab, line ends, vertical tab, form feed) at either end."""
+    return F.btrim(_c(text), F.lit(" \t\n\u000b\f\r"))
+
+
+def _number(stripped: Column) -> Column:
+    return F.when(stripped.rlike(DECIMAL_PATTERN) | stripped.rlike(NON_FINITE_PATTERN), stripped.try_cast("double"))
 
 
 def slice_text(value, start: int, end: int) -> Column:
@@ -35,19 +39,18 @@ def slice_text(value, start: int, end: int) -> Column:
 
 def parse_int(text) -> Column:
     """``int(text.strip())`` or null when it would raise (or not fit in 32 bits)."""
-    t = _strip(_c(text))
+    t = strip_ws(text)
     return F.when(t.rlike(INT_PATTERN), t.try_cast("int"))
 
 
 def parse_double(text) -> Column:
     """``float(text.strip())`` for decimal and non-finite words, else null."""
-    t = _strip(_c(text))
-    return F.when(t.rlike(DECIMAL_PATTERN) | t.rlike(NON_FINITE_PATTERN), t.try_cast("double"))
+    return _number(strip_ws(text))
 
 
 def parse_scaled(text, scale: float, missing: Iterable[str]) -> Column:
     """Trimmed text; a missing code gives null, otherwise the number divided by ``scale``."""
-    t = _strip(_c(text))
+    t = strip_ws(text)
     missing = list(missing)
-    value = parse_double(t) / F.lit(float(scale))
+    value = _number(t) / F.lit(float(scale))
     return F.when(t.isin(missing), F.lit(None).cast("double")).otherwise(value) if missing else value

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.functions.parsing import INT_PATTERN
+from quillon.functions.parsing import INT_PATTERN, strip_ws
 
 # Fixed patterns: field separators of the reference's text formats.
 WHITESPACE = r"\s+"
@@ -38,11 +38,6 @@ def write_lines(df: DataFrame, line_col: str, path: str) -> str:
     return path
 
 
-def strip_ws(c) -> F.Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace of any kind."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
 def _int_token(tok) -> F.Column:
     t = strip_ws(tok)
     return F.when(t.rlike(INT_PATTERN), t.try_cast("bigint"))
