@@ -17,9 +17,12 @@ occurrence that is kept, and stays if it differs.
 With ``passages`` (the pipeline's stage; the query's SQL states the chunk rule alone), every word
 that lies in a run of ``RUN`` words which occurs earlier (by doc_id, then place) goes too,
 wherever the run begins and ends. Of runs that overlap the occurrence they repeat, only the words
-behind that occurrence go. Words are cut at ASCII white space. Runs are met in two steps:
-of each ``RUN`` words in a row the ``GRAM`` words with the least hash are an anchor, so that equal
-runs have an anchor in common; around anchors that occur again, every run is compared by 128 bits.
+behind that occurrence go. Words are cut at ASCII white space. Of each ``RUN`` words in a row the
+``GRAM`` words with the least hash are an anchor, so that equal runs have an anchor in common. Anchors whose
+surroundings (all words that a run around them can reach) occur in an earlier document are settled as
+they stand: each run around them repeats. Only the first of equal surroundings, and repeats within a
+document, are met run by run. What is found is joined into maximal spans, each brought together with
+the words it repeats once, and goes only if these are equal byte by byte.
 
 At scale: chunk rows are slim (no text); groups are met by partial aggregation, hot
 chunks by a join that adaptive execution splits. Texts are dealt by doc_id in one
@@ -41,11 +44,13 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
+from quillon.functions.skew import salted_join
 from quillon.llm.common import free_name, staged, table, text_bytes
 
 WINDOW, MIN_LINES, MIN_WORDS = 2, 2, 10
@@ -164,15 +169,24 @@ def _word_hashes(words: list[bytes], seed: int) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def anchors_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(place, hash) of the GRAM words with the least hash, the last of equal ones, in every RUN words."""
+def anchors_of(words: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(place, hash, hash of the surroundings, words before, words behind) of the GRAM words with the least hash, the last of equal ones, in every RUN words.
+
+    The surroundings are the words that a run around the anchor can reach, up to RUN - GRAM on either side.
+    """
     if len(words) < RUN:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    g = _rolling(_word_hashes(words, 0), GRAM, 0x9E3779B97F4A7C15)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h = _word_hashes(words, 0)
+    g = _rolling(h, GRAM, 0x9E3779B97F4A7C15)
     w = RUN - GRAM + 1
     least = np.lib.stride_tricks.sliding_window_view(g, w)[:, ::-1].argmin(1)
     at = np.unique(np.arange(len(g) - w + 1) + w - 1 - least)
-    return at, g[at]
+    left, right = np.minimum(at, w - 1), np.minimum(len(words) - at - GRAM, w - 1)
+    up, down = _powers(0xA0761D6478BD642F, 1 << int(len(h)).bit_length())
+    s = np.r_[np.uint64(0), np.cumsum(h * up[: len(h)])]
+    around = (s[at + GRAM + right] - s[at - left]) * down[at - left]
+    around = (around ^ (around >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + (left * RUN + right).astype(np.uint64)
+    return at, g[at], around, left, right
 
 
 def runs_at(words: list[bytes], anchors: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,40 +207,99 @@ def _signed(parts: list[np.ndarray], dtype=np.uint64) -> pa.Array:
 
 def _anchor_batches(batches):
     for batch in batches:
-        ids, at, hs = [], [], []
+        ids, found = [], []
         for d, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-            a, h = anchors_of(t.split())
-            ids.append(np.full(len(a), d, np.int64))
-            at.append(a)
-            hs.append(h)
-        yield pa.RecordBatch.from_arrays([_signed(ids, np.int64), _signed(at, np.int64), _signed(hs)], names=["doc_id", "at", "h"])
+            found.append(anchors_of(t.split()))
+            ids.append(np.full(len(found[-1][0]), d, np.int64))
+        cols = [_signed([x[k] for x in found], np.uint64 if k in (1, 2) else np.int64) for k in range(5)]
+        yield pa.RecordBatch.from_arrays([_signed(ids, np.int64), *cols], names=["doc_id", "at", "h", "around", "before", "behind"])
+
+
+def _packed(batches):
+    """Texts compressed, for the way to where their runs are taken."""
+    for batch in batches:
+        pack = zstandard.ZstdCompressor(level=1)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack.compress(t) for t in text_bytes(batch.column(1))], pa.binary())], names=["doc_id", "z"])
 
 
 def _run_batches(batches):
-    """From (doc_id, text, places of anchors): the runs around them."""
+    """From (doc_id, compressed text, places of anchors): the runs around them."""
     for batch in batches:
-        rows = list(zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()))
+        unpack = zstandard.ZstdDecompressor()
+        rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()))
         for lo in range(0, len(rows), 64):
             ids, found = [], []
             for d, t, near in rows[lo : lo + 64]:
-                found.append(runs_at(t.split(), near))
+                found.append(runs_at(unpack.decompress(t).split(), near))
                 ids.append(np.full(len(found[-1][0]), d, np.int64))
             at, h, h2 = zip(*found)
             yield pa.RecordBatch.from_arrays([_signed(ids, np.int64), _signed(at, np.int64), _signed(h), _signed(h2)], names=["doc_id", "at", "h", "h2"])
 
 
+_PLACE = ["in_doc", "of", "shift"]
+
+
 def repeated_runs(slim: DataFrame) -> DataFrame:
-    """(in_doc, from_word, to_word) of words that an earlier run of RUN words holds, from (doc_id, text) rows with a doc_id."""
-    anchors = staged(slim.mapInArrow(_anchor_batches, "doc_id long, at long, h long"), "lines-anchors")
+    """(in_doc, of, from_word, to_word, of_word): spans of words that stand alike at ``of_word`` of document ``of``, earlier.
+
+    From (doc_id, text) rows with a doc_id. Every word of an earlier run of RUN words is in a span.
+    The spans are found by hashes; the words are still to be compared.
+    """
+    anchors = staged(slim.mapInArrow(_anchor_batches, "doc_id long, at long, h long, around long, before long, behind long"), "lines-anchors")
     again = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    near = anchors.join(again, "h").groupBy(F.col("doc_id").alias("in_")).agg(F.collect_set("at").alias("near"))
-    runs = slim.join(near, F.col("doc_id") == F.col("in_")).select("doc_id", "text", "near")
+    anchors = staged(anchors.join(again, "h"), "lines-repeated-anchors")
+    kinds = anchors.groupBy("h", "around").agg(F.min(F.struct("doc_id", "at")).alias("first"))
+    known = staged(salted_join(anchors, kinds, ["h", "around"]), "lines-known-anchors")
+    settled = F.col("doc_id") != F.col("first.doc_id")
+    spans = known.where(settled).select(
+        F.col("doc_id").alias("in_doc"), F.col("first.doc_id").alias("of"), (F.col("at") - F.col("first.at")).alias("shift"),
+        (F.col("at") - F.col("before")).alias("from_word"), (F.col("at") + GRAM + F.col("behind")).alias("to_word"))
+
+    open_ = known.where(~settled).select("doc_id", "at", "h")
+    several = open_.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    near = open_.join(several, "h").groupBy(F.col("doc_id").alias("in_")).agg(F.collect_set("at").alias("near"))
+    runs = slim.mapInArrow(_packed, "doc_id long, z binary").join(near, F.col("doc_id") == F.col("in_")).select("doc_id", "z", "near")
     runs = staged(runs.mapInArrow(_run_batches, "doc_id long, at long, h long, h2 long"), "lines-runs")
     first = runs.groupBy("h", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1")
     first = first.select("h", "h2", F.col("first.doc_id").alias("of"), F.col("first.at").alias("of_at"))
     later = runs.join(first, ["h", "h2"]).where("doc_id <> of or at <> of_at")
     lo = F.when(F.col("doc_id") == F.col("of"), F.greatest("at", F.col("of_at") + RUN)).otherwise(F.col("at"))
-    return later.select(F.col("doc_id").alias("in_doc"), lo.alias("from_word"), (F.col("at") + RUN).alias("to_word"))
+    one = later.select(F.col("doc_id").alias("in_doc"), "of", (F.col("at") - F.col("of_at")).alias("shift"), lo.alias("from_word"), (F.col("at") + RUN).alias("to_word"))
+
+    # spans that touch, of the same documents and shift, become one
+    every = spans.unionByName(one).groupBy(*_PLACE).agg(F.array_sort(F.collect_set(F.struct("from_word", "to_word"))).alias("spans"))
+    none = F.array().cast("array<struct<from_word:bigint,to_word:bigint>>")
+    last = lambda acc: F.element_at(acc, -1)
+    longer = lambda acc, x: F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last(acc)["from_word"].alias("from_word"), F.greatest(last(acc)["to_word"], x["to_word"]).alias("to_word"))))
+    merged = F.aggregate("spans", none, lambda acc, x: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["to_word"] >= x["from_word"]), longer(acc, x)).otherwise(F.concat(acc, F.array(x))))
+    out = every.select(*_PLACE, F.explode(merged).alias("span")).select("in_doc", "of", "span.*", (F.col("span.from_word") - F.col("shift")).alias("of_word"))
+    return staged(out, "lines-spans")
+
+
+def _span_batches(at_text: int):
+    """Words of the occurrences that stay: the last column has the (from, to) wanted."""
+
+    def run(batches):
+        for batch in batches:
+            lo, hi, of, texts, size = [], [], [], [], 0
+            for d, t, wanted in zip(batch.column(0).to_pylist(), text_bytes(batch.column(at_text).cast(pa.string())), batch.column(batch.num_columns - 1).to_pylist()):
+                words = t.split()
+                for w in wanted:
+                    of.append(d)
+                    lo.append(w["of_word"])
+                    hi.append(w["of_end"])
+                    texts.append(b" ".join(words[lo[-1] : hi[-1]]))
+                    size += len(texts[-1])
+                if size > 8_000_000:
+                    yield _spans(of, lo, hi, texts)
+                    lo, hi, of, texts, size = [], [], [], [], 0
+            yield _spans(of, lo, hi, texts)
+
+    return run
+
+
+def _spans(of, lo, hi, texts):
+    return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in (of, lo, hi)], pa.array(texts, pa.binary())], names=["of", "of_word", "of_end", "kept_words"])
 
 
 def _chunk_batches(batches):
@@ -268,7 +341,7 @@ def _texts(hs, texts):
 _FOUND = StructType([StructField("from_line", IntegerType()), StructField("to_line", IntegerType())])
 
 
-def _cut_batches(at_text: int, at_found: int, at_runs: int | None = None):
+def _cut_batches(at_text: int, at_found: int, at_runs: int | None, added: list[str]):
     """Compare each candidate with the text of the occurrence that is kept, and cut the equal ones; cut runs of words."""
 
     def run(batches):
@@ -286,7 +359,10 @@ def _cut_batches(at_text: int, at_found: int, at_runs: int | None = None):
                         kept.setdefault(c["line"], []).append(c["kept_text"])
                     gone = [(lo, hi) for lo, hi, chunk in chunks_of(t) if chunk in kept.get(lo, ())]
                 if words:
-                    lines, empty = without_words(lines_of(t), [(w["from_word"], w["to_word"]) for w in words])
+                    own = t.split()
+                    words = [(w["from_word"], w["to_word"]) for w in words if b" ".join(own[w["from_word"] : w["to_word"]]) == w["kept_words"]]
+                if words:
+                    lines, empty = without_words(lines_of(t), words)
                     new.append(without_lines(lines, gone + empty))
                 else:
                     new.append(without(t, gone) if gone else t)
@@ -296,7 +372,7 @@ def _cut_batches(at_text: int, at_found: int, at_runs: int | None = None):
             cols[at_text] = pa.array(new, pa.binary()).cast(pa.string())
             names = [n for k, n in enumerate(batch.schema.names) if k not in (at_found, at_runs)]
             spans_ = pa.array(spans, pa.list_(pa.struct([("from_line", pa.int32()), ("to_line", pa.int32())])))
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n_lines, pa.int64()), spans_, pa.array(cut, pa.bool_())], names=[*names, "n_lines", "removed", "cut"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(n_lines, pa.int64()), spans_, pa.array(cut, pa.bool_())], names=[*names, *added])
 
     return run
 
@@ -314,33 +390,40 @@ def dedup_lines(docs: DataFrame, report: bool = False, passages: bool = False) -
     cand = chunks.join(again, "h").where("doc_id <> of or line <> at").select("doc_id", "line", "h")
 
     key = free_name("doc_", names)
+    in_name, of_name, wanted_name = (free_name(n, names) for n in ("in_", "of_", "wanted_"))
     # both joins see the same rows and columns, so that texts are dealt once
     dealt = docs.select(F.col("doc_id").cast("long").alias(key), *names).where(F.col(key).isNotNull())
-    wanted = again.groupBy("of").agg(F.collect_set("at").alias("wanted_"))
-    firsts = dealt.join(wanted, F.col(key) == F.col("of")).drop("of")
+    wanted = again.groupBy(F.col("of").alias(of_name)).agg(F.collect_set("at").alias(wanted_name))
+    firsts = dealt.join(wanted, F.col(key) == F.col(of_name)).drop(of_name)
     low = [c.lower() for c in names]
     at_text = low.index("text")
     kept = firsts.mapInArrow(_text_batches(at_text + 1), "h long, kept_text binary").distinct()
     found_name = free_name("found_", names)
-    found = cand.join(kept, "h").groupBy(F.col("doc_id").alias("in_")).agg(F.collect_list(F.struct("line", "kept_text")).alias(found_name))
-    both = dealt.join(found, F.col(key) == F.col("in_"), "left").drop("in_", key)
+    found = cand.join(kept, "h").groupBy(F.col("doc_id").alias(in_name)).agg(F.collect_list(F.struct("line", "kept_text")).alias(found_name))
+    both = dealt.join(found, F.col(key) == F.col(in_name), "left").drop(in_name, key)
     runs_name = free_name("runs_", [*names, found_name])
     if passages:
-        runs = repeated_runs(slim.where("doc_id is not null")).groupBy(F.col("in_doc").alias("of_")).agg(F.collect_set(F.struct("from_word", "to_word")).alias(runs_name))
-        both = dealt.join(found, F.col(key) == F.col("in_"), "left").join(runs, F.col(key) == F.col("of_"), "left").drop("in_", "of_", key)
+        spans = repeated_runs(slim.where("doc_id is not null")).withColumn("of_end", F.col("of_word") + F.col("to_word") - F.col("from_word"))
+        wanted = spans.groupBy(F.col("of").alias(of_name)).agg(F.collect_set(F.struct("of_word", "of_end")).alias(wanted_name))
+        earlier = dealt.join(wanted, F.col(key) == F.col(of_name)).drop(of_name)
+        words = earlier.mapInArrow(_span_batches(at_text + 1), "of long, of_word long, of_end long, kept_words binary")
+        words = salted_join(spans, words, ["of", "of_word", "of_end"])
+        runs = words.groupBy(F.col("in_doc").alias(of_name)).agg(F.collect_list(F.struct("from_word", "to_word", "kept_words")).alias(runs_name))
+        both = dealt.join(found, F.col(key) == F.col(in_name), "left").join(runs, F.col(key) == F.col(of_name), "left").drop(in_name, of_name, key)
     without_id = docs.where(F.col("doc_id").cast("long").isNull()).withColumn(found_name, F.lit(None).cast(both.schema[found_name].dataType))
     if passages:
         without_id = without_id.withColumn(runs_name, F.lit(None).cast(both.schema[runs_name].dataType))
     both = both.unionByName(without_id)
     both = both.withColumn(names[at_text], F.col(names[at_text]).cast("string"))
     fields = [StructField(f.name, f.dataType) for f in both.schema if f.name not in (found_name, runs_name)]
-    schema = StructType([*fields, StructField("n_lines_", LongType()), StructField("removed_", ArrayType(_FOUND)), StructField("cut_", BooleanType())])
-    out = both.mapInArrow(_cut_batches(at_text, len(names), len(names) + 1 if passages else None), schema)
+    lines_name, removed_name, cut_name = (free_name(n, names) for n in ("n_lines_", "removed_", "cut_"))
+    schema = StructType([*fields, StructField(lines_name, LongType()), StructField(removed_name, ArrayType(_FOUND)), StructField(cut_name, BooleanType())])
+    out = both.mapInArrow(_cut_batches(at_text, len(names), len(names) + 1 if passages else None, [lines_name, removed_name, cut_name]), schema)
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("cut_"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(cut_name), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     if not report:
         return out.select(*names)
-    return out.select(*names, F.col("n_lines_").alias(free_name("n_lines", names)), F.col("removed_").alias(free_name("removed", names)))
+    return out.select(*names, F.col(lines_name).alias(free_name("n_lines", names)), F.col(removed_name).alias(free_name("removed", names)))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,3 +48,20 @@ def test_words_cut_from_lines():
     lines = op1_lines.lines_of(b"a b. c d\ne f\n  g h")
     assert op1_lines.without_words(lines, [(1, 3)]) == ([b"a ", b"d\n", b"e f\n", b"  g h"], [])
     assert op1_lines.without_words(lines, [(4, 7)]) == ([b"a b. ", b"c d\n", b"e f\n", b"h"], [(2, 3)])
+
+
+def test_runs_that_repeat_a_later_context_and_clashing_names(spark):
+    """An anchor's first surroundings differ from those that a later text repeats; helper names of the stage as columns."""
+    rng = np.random.default_rng(4)
+    words = lambda n: ["v%d" % k for k in rng.integers(0, 10**9, n)]
+    core = words(30)
+    a, b = words(40) + core + words(40), words(40) + core + words(40)
+    rows = [(1, a), (2, b), (3, words(5) + b[10:100] + words(9)), (4, a + b), (5, words(20) + a[20:95] + words(3) + a[20:95]), (6, core * 9)]
+    rows = [(d, " ".join(w)) for d, w in rows]
+    df = spark.createDataFrame([(d, t, len(t)) for d, t in rows], DOCS)
+    for c in ("of", "of_", "in_", "wanted_", "cut_", "removed_", "n_lines_", "doc_", "found_", "runs_", "h", "around"):
+        df = df.withColumn(c, df["n_chars"])
+    got = {r.doc_id: r for r in op1_lines.dedup_lines(df, passages=True).collect()}
+    want = _brute(rows)
+    assert {d: r.text.split() for d, r in got.items()} == want and got[1].asDict().keys() == set(df.columns)
+    assert op1_lines.dedup_lines(df, report=True).columns == [*df.columns, "n_lines", "removed"]
