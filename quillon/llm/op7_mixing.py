@@ -7,17 +7,19 @@ weigh 5, 2, 1 in turn and share 150 % of all words; no target exceeds twice its
 source, and what is cut off goes to the others by weight until none is above
 (computed in closed form: every source gets min(2 * size, level * weight)).
 
-The mix has, for each source, its target in blocks, rounded. Output shards are not built: no
-counts by shard are drawn, and no result carries a shard. Draw j of a source with n blocks takes
-the block with index perm(j mod n): perm is a pseudorandom permutation of 0..n-1, made of
-two affine maps with a keyed swap of low bits between them. Slots and blocks meet in a
+The mix has, for each source, its target in blocks, rounded, and about one output shard for each
+``SHARD`` blocks. The number of draws that a shard gets of a source is multinomial, given the source's
+total: each draw falls into a shard by a seeded hash, and the draws are counted. The counts number the slots:
+the slots of a source go from shard to shard, each shard as many as its count. Slot j of a source with n
+blocks takes the block with index perm(j mod n): perm is a pseudorandom permutation of 0..n-1, made
+of two affine maps with a keyed swap of low bits between them. Slots and blocks meet in a
 join on (source, index). As a target is at most twice its source, no block is drawn more
 than twice, and no document exceeds twice its size.
 
-At scale: positions within a source are prefix sums over (source, hash bucket) totals, so
-a source that holds a third of all rows is spread over ``BUCKETS`` groups; slot rows are
-made from the documents, not from the list of sources; only the list of sources (one
-row each) is ordered as a whole.
+At scale: positions within a source, and slots within a source's shards, are running sums over
+ranges, so that neither a source that holds a third of all rows nor many equal rows are one
+group; draws are made from the documents, not from the list of sources, and counted by partial
+aggregation; only the list of sources (one row each) is ordered as a whole.
 
 Defined results: null text has size 0; a null source is a source. Rows are documents:
 repeated rows are laid out one after the other and counted each for itself. A source of
@@ -30,9 +32,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillon.functions.ranges import ranged, running_sums
 from quillon.llm.common import SPACE, WORD, free_name, staged, table
 
-BLOCK, BUCKETS, SEED = 32, 8192, 17
+BLOCK, BUCKETS, SHARD, SEED = 32, 8192, 8192, 17
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Multipliers of the affine maps: primes just above 2^20, 2^20 + 1 to 2^20 + 200.
 PRIMES = [1048583, 1048589, 1048601, 1048609, 1048613, 1048627, 1048633, 1048661]
@@ -64,7 +67,8 @@ def targets(sizes: DataFrame) -> DataFrame:
     n = F.ceil(F.col("source_size") / F.lit(float(BLOCK))).cast("long")
     s = s.withColumn("n_blocks", n)
     drawn = F.when(F.col("source_size") > 0, F.round(F.col("target") * F.col("n_blocks") / F.col("source_size")).cast("long")).otherwise(F.lit(0).cast("long"))
-    return s.withColumn("n_draws", drawn).select("source", "sid", "source_size", "target", "n_blocks", "n_draws", *permutation_keys(F.col("n_blocks"), F.col("sid")))
+    s = s.withColumn("n_draws", drawn).withColumn("n_shards", F.greatest(F.ceil(F.sum("n_draws").over(whole) / SHARD), F.lit(1)))
+    return s.select("source", "sid", "source_size", "target", "n_blocks", "n_draws", "n_shards", *permutation_keys(F.col("n_blocks"), F.col("sid")))
 
 
 def permutation_keys(n: Column, sid: Column) -> list[Column]:
@@ -93,21 +97,15 @@ def permuted(i: Column, n: Column) -> Column:
 
 
 def layout(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents with source, size, bucket, nth and start; sources with their targets), both staged."""
+    """(documents with source, size, bucket, nth and start in their source, ordered by bucket; sources with their targets), both staged."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
     d = d.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(BUCKETS)).cast("int").alias("bucket"), F.xxhash64("text").alias("mark"))
     sized = staged(d, "mix-sizes")
     plan = staged(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "mix-sources")
     p = plan.withColumnRenamed("source", "of")
-    d = sized.join(p, sized["source"].eqNullSafe(p["of"])).drop("of")
-    totals = d.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
-    up_to = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select("sid", "bucket", F.coalesce(F.sum("words").over(up_to), F.lit(0)).alias("base"))
-    within = Window.partitionBy("sid", "bucket").orderBy("doc_id", "mark", "size")
-    d = d.withColumn("nth", F.row_number().over(within))
-    d = d.withColumn("inside", F.coalesce(F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(base, ["sid", "bucket"]).withColumn("start", F.col("base") + F.col("inside")).drop("base", "inside")
-    return staged(d, "mix-documents"), plan
+    d = staged(sized.join(p, sized["source"].eqNullSafe(p["of"])).drop("of"), "mix-planned")
+    placed = running_sums(ranged(d, ["bucket", "doc_id", "mark", "size"], ["sid"], "mix-ranges"), {"nth": F.lit(1).cast("long"), "start": F.col("size")}, ["sid"])
+    return staged(placed, "mix-documents"), plan
 
 
 def blocks(placed: DataFrame) -> DataFrame:
@@ -120,31 +118,43 @@ def blocks(placed: DataFrame) -> DataFrame:
     return b.withColumn("from_word", lo).withColumn("to_word", hi)
 
 
-def draw(placed: DataFrame) -> DataFrame:
-    """The mix: (sid, draw, block)."""
+def shard_counts(placed: DataFrame) -> DataFrame:
+    """(sid, shard, n): how many of a source's draws fall into each shard."""
     first = F.ceil(F.col("start") / F.lit(float(BLOCK))).cast("long")
     last = F.floor((F.col("start") + F.col("size") - 1) / BLOCK)
-    i = placed.where("size > 0").select("sid", "n_blocks", "n_draws", "mul1", "add1", "mul2", "add2", first.alias("first"), last.alias("last")).where("first <= last")
+    i = placed.where("size > 0").select("sid", "n_blocks", "n_draws", "n_shards", first.alias("first"), last.alias("last")).where("first <= last")
     i = i.withColumn("i", F.explode(F.sequence("first", "last")))
     i = i.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
     i = i.withColumn("draw", F.col("pass") * F.col("n_blocks") + F.col("i")).where("draw < n_draws")
-    return i.select("sid", "draw", permuted(F.col("i"), F.col("n_blocks")).alias("block"))
+    shard = F.pmod(F.xxhash64(F.lit(SEED), F.lit(7), "sid", "draw"), F.col("n_shards"))
+    return i.groupBy("sid", shard.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def draw(placed: DataFrame, plan: DataFrame) -> DataFrame:
+    """The mix: (sid, shard, draw, block); draws are a source's slots, numbered shard by shard."""
+    counts = staged(shard_counts(placed), "mix-shards")
+    counts = running_sums(ranged(counts, ["shard"], ["sid"], "mix-shard-ranges"), {"before": F.col("n")}, ["sid"])
+    slots = counts.withColumn("draw", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)))
+    slots = slots.join(plan.select("sid", "n_blocks", "mul1", "add1", "mul2", "add2"), "sid")
+    return slots.select("sid", "shard", "draw", permuted(F.pmod("draw", "n_blocks"), F.col("n_blocks")).alias("block"))
 
 
 def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents as laid out; the mix as rows (sid, draw, block, and the words taken from a document))."""
-    placed, _ = layout(docs)
-    taken = draw(placed).join(blocks(placed).select("sid", "block", "doc_id", "mark", "source", "size", "bucket", "nth", "from_word", "to_word"), ["sid", "block"])
+    """(documents as laid out; the mix as rows (shard, sid, draw, block, and the words taken from a document))."""
+    placed, plan = layout(docs)
+    taken = draw(placed, plan).join(blocks(placed).select("sid", "block", "doc_id", "mark", "source", "size", "nth", "from_word", "to_word"), ["sid", "block"])
     return placed, taken
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source, source_size, target, taken) for every row of ``docs``."""
+    """(doc_id, size, source, source_size, target, taken, and the number of shards with words of it) for every row of ``docs``."""
     placed, taken = mix(docs)
-    key = ["sid", "bucket", "nth"]
-    words = taken.groupBy(*key).agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    key = ["sid", "nth"]
+    by_shard = taken.groupBy(*key, "shard").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    words = by_shard.groupBy(*key).agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("shards"))
     out = placed.join(words, key, "left")
-    return out.select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    none = F.lit(0).cast("long")
+    return out.select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", none).alias("taken"), F.coalesce("shards", none).alias("shards"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -155,23 +165,23 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     document of which no word is drawn goes. n_chars, if there is such a column, is set anew.
     """
     placed, taken = mix(docs)
-    key = ["sid", "bucket", "nth"]
-    rank = F.row_number().over(Window.partitionBy("sid", "block", "bucket", "nth").orderBy("draw"))
+    rank = F.row_number().over(Window.partitionBy("sid", "block", "nth").orderBy("draw"))
     spans = taken.withColumn("copy", rank).groupBy("doc_id", "mark", "source", "size", "nth", "copy").agg(
         F.array_sort(F.collect_list(F.struct("from_word", "to_word"))).alias("spans"))
     # repeated rows of a document are told apart by their number
     alike = Window.partitionBy("doc_id", "source", "mark").orderBy("nth")
     nth = placed.select("doc_id", "source", "mark", "nth", F.row_number().over(alike).alias("mix_no"))
     s = spans.join(nth.withColumnsRenamed({"doc_id": "d_", "source": "s_", "mark": "m_", "nth": "n_"}), (F.col("doc_id").eqNullSafe(F.col("d_"))) & F.col("source").eqNullSafe(F.col("s_")) & (F.col("mark") == F.col("m_")) & (F.col("nth") == F.col("n_")))
-    s = s.select(F.col("doc_id").alias("mix_doc_id"), F.col("source").alias("mix_source"), F.col("mark").alias("mix_mark"), "mix_no", F.col("size").alias("mix_size"), F.col("spans").alias("mix_spans"))
     names = docs.columns
     mark, no = free_name("text_mark", names), free_name("row_no", names)
+    of_id, of_source, of_mark, of_no, of_size, of_spans = (free_name(f"mix_{n}", names) for n in ("doc_id", "source", "mark", "no", "size", "spans"))
+    s = s.select(F.col("doc_id").alias(of_id), F.col("source").alias(of_source), F.col("mark").alias(of_mark), F.col("mix_no").alias(of_no), F.col("size").alias(of_size), F.col("spans").alias(of_spans))
     d = docs.withColumn(mark, F.xxhash64(F.col("text").cast("string")))
     d = d.withColumn(no, F.row_number().over(Window.partitionBy("doc_id", "source", mark).orderBy(F.xxhash64(*names))))
-    on = d["doc_id"].cast("long").eqNullSafe(s["mix_doc_id"]) & (d[mark] == s["mix_mark"]) & d["source"].cast("string").eqNullSafe(s["mix_source"]) & (d[no] == s["mix_no"])
+    on = d["doc_id"].cast("long").eqNullSafe(s[of_id]) & (d[mark] == s[of_mark]) & d["source"].cast("string").eqNullSafe(s[of_source]) & (d[no] == s[of_no])
     words = F.regexp_extract_all("text", F.lit(rf"(^[{SPACE}]+)?{WORD}[{SPACE}]*"), F.lit(0))
-    part = F.concat_ws("", F.transform("mix_spans", lambda p: F.concat_ws("", F.slice(words, (p["from_word"] + 1).cast("int"), (p["to_word"] - p["from_word"]).cast("int")))))
-    whole = (F.aggregate("mix_spans", F.lit(0).cast("long"), lambda a, p: a + p["to_word"] - p["from_word"])) == F.col("mix_size")
+    part = F.concat_ws("", F.transform(of_spans, lambda p: F.concat_ws("", F.slice(words, (p["from_word"] + 1).cast("int"), (p["to_word"] - p["from_word"]).cast("int")))))
+    whole = (F.aggregate(of_spans, F.lit(0).cast("long"), lambda a, p: a + p["to_word"] - p["from_word"])) == F.col(of_size)
     out = d.join(s, on).withColumn("text", F.when(whole, F.col("text")).otherwise(part))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -179,4 +189,4 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 
 def op7_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taken_words(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return taken_words(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "shards")
