@@ -21,8 +21,9 @@ behind that occurrence go. Words are cut at ASCII white space. Of each ``RUN`` w
 ``GRAM`` words with the least hash are an anchor, so that equal runs have an anchor in common. Anchors whose
 surroundings (all words that a run around them can reach) occur in an earlier document are settled as
 they stand: each run around them repeats. Only the first of equal surroundings, and repeats within a
-document, are met run by run. What is found is joined into maximal spans, each brought together with
-the words it repeats once, and goes only if these are equal byte by byte.
+document, are met run by run. What is found is joined into maximal spans; the fewest spans of a document that
+cover the same words are each brought together with the words they repeat, and go only if these are
+equal byte by byte.
 
 At scale: chunk rows are slim (no text); groups are met by partial aggregation, hot
 chunks by a join that adaptive execution splits. Texts are dealt by doc_id in one
@@ -247,7 +248,7 @@ def repeated_runs(slim: DataFrame) -> DataFrame:
     """
     anchors = staged(slim.mapInArrow(_anchor_batches, "doc_id long, at long, h long, around long, before long, behind long"), "lines-anchors")
     again = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    anchors = staged(anchors.join(again, "h"), "lines-repeated-anchors")
+    anchors = staged(salted_join(anchors, again, ["h"]), "lines-repeated-anchors")
     kinds = anchors.groupBy("h", "around").agg(F.min(F.struct("doc_id", "at")).alias("first"))
     known = staged(salted_join(anchors, kinds, ["h", "around"]), "lines-known-anchors")
     settled = F.col("doc_id") != F.col("first.doc_id")
@@ -257,7 +258,7 @@ def repeated_runs(slim: DataFrame) -> DataFrame:
 
     open_ = known.where(~settled).select("doc_id", "at", "h")
     several = open_.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    near = open_.join(several, "h").groupBy(F.col("doc_id").alias("in_")).agg(F.collect_set("at").alias("near"))
+    near = salted_join(open_, several, ["h"]).groupBy(F.col("doc_id").alias("in_")).agg(F.collect_set("at").alias("near"))
     runs = slim.mapInArrow(_packed, "doc_id long, z binary").join(near, F.col("doc_id") == F.col("in_")).select("doc_id", "z", "near")
     runs = staged(runs.mapInArrow(_run_batches, "doc_id long, at long, h long, h2 long"), "lines-runs")
     first = runs.groupBy("h", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1")
@@ -272,10 +273,40 @@ def repeated_runs(slim: DataFrame) -> DataFrame:
     last = lambda acc: F.element_at(acc, -1)
     longer = lambda acc, x: F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last(acc)["from_word"].alias("from_word"), F.greatest(last(acc)["to_word"], x["to_word"]).alias("to_word"))))
     merged = F.aggregate("spans", none, lambda acc, x: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["to_word"] >= x["from_word"]), longer(acc, x)).otherwise(F.concat(acc, F.array(x))))
-    out = every.select(*_PLACE, F.explode(merged).alias("span")).select("in_doc", "of", "span.*", (F.col("span.from_word") - F.col("shift")).alias("of_word"))
+    out = every.select(*_PLACE, F.explode(merged).alias("span")).select("in_doc", F.struct("span.from_word", "span.to_word", "of", "shift").alias("span"))
+    out = out.groupBy("in_doc").agg(F.collect_list("span").alias("spans")).mapInArrow(_cover_batches, "in_doc long, of long, from_word long, to_word long, of_word long")
     return staged(out, "lines-spans")
 
 
+def cover(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """The fewest (from, to, of, shift) spans that cover the same words; of equal ones the first in order."""
+    out, end, k = [], -1, 0
+    spans = sorted(spans)
+    while k < len(spans):
+        if spans[k][0] > end:  # a gap: the next word to cover
+            end = spans[k][0]
+        best = None
+        while k < len(spans) and spans[k][0] <= end:
+            if best is None or spans[k][1] > best[1]:
+                best = spans[k]
+            k += 1
+        if best and best[1] > end:
+            out.append(best)
+            end = best[1]
+    return out
+
+
+def _cover_batches(batches):
+    for batch in batches:
+        rows = [
+            (d, of, lo, hi, lo - shift)
+            for d, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for lo, hi, of, shift in cover([(x["from_word"], x["to_word"], x["of"], x["shift"]) for x in spans])
+        ]
+        cols = list(zip(*rows)) if rows else [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["in_doc", "of", "from_word", "to_word", "of_word"])
+
+
 def _span_batches(at_text: int):
     """Words of the occurrences that stay: the last column has the (from, to) wanted."""
 

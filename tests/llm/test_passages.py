@@ -65,3 +65,20 @@ def test_runs_that_repeat_a_later_context_and_clashing_names(spark):
     want = _brute(rows)
     assert {d: r.text.split() for d, r in got.items()} == want and got[1].asDict().keys() == set(df.columns)
     assert op1_lines.dedup_lines(df, report=True).columns == [*df.columns, "n_lines", "removed"]
+
+
+def test_cover_keeps_all_words_with_few_spans():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        spans = [(int(a), int(a + n), int(k), 0) for k, (a, n) in enumerate(zip(rng.integers(0, 300, 40), rng.integers(1, 60, 40)))]
+        got = op1_lines.cover(spans)
+        words = lambda x: {w for lo, hi, *_ in x for w in range(lo, hi)}
+        assert words(got) == words(spans) and set(got) <= set(spans)
+    assert len(op1_lines.cover([(k, k + 50, 1, k) for k in range(1000)])) == 21 and op1_lines.cover([]) == []
+
+
+def test_texts_of_two_words(spark):
+    rows = [(k, "ab cd " * (30 + 7 * k)) for k in range(12)] + [(50, "x " * 70 + "ab cd " * 40)]
+    df = spark.createDataFrame([(d, t, len(t)) for d, t in rows], DOCS)
+    got = {r.doc_id: r.text.split() for r in op1_lines.dedup_lines(df, passages=True).collect()}
+    assert got == _brute(rows)
