@@ -477,10 +477,28 @@ def survey_sql() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- intake and reports
+
+def intake_sql(weather_counts: str) -> dict[str, str]:
+    kind = """CASE WHEN l_orderkey % 23 = 0 THEN 'short' WHEN l_orderkey % 29 = 0 THEN 'long'
+                   WHEN l_orderkey % 31 = 0 THEN 'no number' ELSE 'kept' END"""
+    runs = " UNION ALL ".join(
+        f"SELECT '{run}' AS run_id, '{metric}' AS metric, {value}::BIGINT AS value FROM lineitem WHERE {rule}"
+        for run, rule in (("all", "true"), ("large", "l_quantity > 25"))
+        for metric, value in (("lines", "count(*)"), ("orders", "count(DISTINCT l_orderkey)")))
+    return {
+        "weather_files": f"SELECT (SELECT count(DISTINCT year(l_shipdate)) FROM lineitem) AS n_files, w.* FROM ({weather_counts}) w",
+        "csv_quarantine": f"""SELECT kind, count(*) AS n, sum(CASE WHEN kind = 'kept' THEN l_quantity::DOUBLE END) AS quantity
+            FROM (SELECT {kind} AS kind, l_quantity FROM lineitem) GROUP BY kind""",
+        "filed_metrics": runs,
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(recommender_sql())
     out.update(rule_sql())
     out.update(weather_sql())
     out.update(survey_sql())
+    out.update(intake_sql(out["weather_counts"]))
     return out

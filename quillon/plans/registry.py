@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillon.plans import intake as I
 from quillon.plans import recommender as R
 from quillon.plans import rule_lists as L
 from quillon.plans import survey as V
@@ -40,6 +41,9 @@ def queries() -> dict[str, Query]:
         "rule_confusion": L.q_rule_confusion,
         "rule_named": L.q_rule_named,
         "lookup_line_counts": L.q_lookup_line_counts,
+        "weather_files": I.q_weather_files,
+        "csv_quarantine": I.q_csv_quarantine,
+        "filed_metrics": I.q_filed_metrics,
         "weather_counts": W.q_weather_counts,
         "weather_parse": W.q_weather_parse,
         "weather_year_bounds": W.q_weather_year_bounds,

@@ -9,6 +9,8 @@ dropped. Everything is a projection + filter, so Catalyst prunes and fuses it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -60,13 +62,13 @@ def parse_columns(value_col: str = "value") -> list:
     return cols
 
 
-def with_validity(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """All parsed columns plus ``valid`` (kept by the reference's parser) for each line."""
-    parsed = lines.select(F.length(value_col).alias("_len"), *parse_columns(value_col))
+def with_validity(lines: DataFrame, value_col: str = "value", carry: Sequence[str] = ()) -> DataFrame:
+    """All parsed columns plus ``valid`` (kept by the reference's parser) for each line, and the columns ``carry``."""
+    parsed = lines.select(F.length(value_col).alias("_len"), *carry, *parse_columns(value_col))
     ok = F.col("_len") >= MIN_LENGTH
     for name in BASE_FEATURES + [LABEL]:
         ok = ok & F.col(name).isNotNull()
-    return parsed.select(*FEATURES, LABEL, F.coalesce(ok, F.lit(False)).alias("valid"))
+    return parsed.select(*carry, *FEATURES, LABEL, F.coalesce(ok, F.lit(False)).alias("valid"))
 
 
 def parse_records(lines: DataFrame, value_col: str = "value") -> DataFrame:
