@@ -40,7 +40,6 @@ Empty table: no rows.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from hashlib import md5
 
 import numpy as np
@@ -150,10 +149,17 @@ def without_words(lines: list[bytes], runs: list[tuple[int, int]]) -> tuple[list
     return out, gone
 
 
-@lru_cache(maxsize=8)
+_KNOWN_POWERS: dict = {}
+
+
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2^64."""
-    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)]) for x in (base, pow(base, -1, 1 << 64)))
+    """Powers of an odd number and of its inverse, modulo 2^64 (short lists are kept by the worker)."""
+    known = _KNOWN_POWERS.get(base)
+    if known is None or len(known[0]) < n:
+        known = tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)]) for x in (base, pow(base, -1, 1 << 64)))
+        if n <= 1 << 17:
+            _KNOWN_POWERS[base] = known
+    return known[0][:n], known[1][:n]
 
 
 def _rolling(h: np.ndarray, n: int, base: int) -> np.ndarray:
