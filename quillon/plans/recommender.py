@@ -184,7 +184,7 @@ def q_popularity_mean_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_popularity_at_50(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A11 + E10 + U3 for the popularity list against every test user."""
     train, test, top = _popularity_parts(spark, sf_dir)
-    items_total = train.agg(F.count_distinct("item_id")).first()[0]
+    items_total = train.agg(F.count_distinct("item_id"))
     acts = test.select("user_id", "item_id").distinct()
     n_actual = acts.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_actual"))
     hits = acts.join(F.broadcast(top.select("item_id")), "item_id").groupBy("user_id").agg(
@@ -256,6 +256,36 @@ def q_als_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recs.select("user_id", "rank", "item_id", F.round("score", 6).alias("score"))
 
 
+def q_als_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the fitted factors of every user solve that user's regularised normal equations."""
+    from quillon.operators import recommend
+
+    s = split_ratings(spark, sf_dir).persist()
+    try:
+        train = s.filter(F.col("part") == "train").select("user_id", "item_id", "plays")
+        recommend.check_int_ids(train)
+        model = recommend.fit(train, **ALS_PARAMS)
+        found = S.reliable_checkpoint(recommend.normal_residuals(model, train, ALS_PARAMS["reg"], ALS_PARAMS["alpha"]))
+    finally:
+        s.unpersist()
+    return found.select("user_id", "n_rated", F.round("residual", 2).alias("residual"))
+
+
+def q_als_list_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 + J5 + M20: the lists of all test users against the products of the factors."""
+    from quillon.operators import recommend
+
+    s = split_ratings(spark, sf_dir).persist()
+    try:
+        train = s.filter(F.col("part") == "train").select("user_id", "item_id", "plays")
+        recommend.check_int_ids(train)
+        model = recommend.fit(train, **ALS_PARAMS)
+        recs = S.reliable_checkpoint(recommend.top_n(model, s.filter(F.col("part") == "test").select("user_id"), TOP_N))
+        return S.reliable_checkpoint(recommend.list_faults(model, recs))
+    finally:
+        s.unpersist()
+
+
 def q_als_user_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 + E9: per-user AUC of the ALS lists against the held-out items."""
     from quillon.operators import recommend

@@ -78,6 +78,10 @@ def queries() -> dict[str, Query]:
         "model_comparison": V.q_model_comparison,
         "model_roundtrip": V.q_model_roundtrip,
         "doc_quality_tree": V.q_doc_quality_tree,
+        "stump_rows": V.q_stump_rows,
+        "tree_routing": V.q_tree_routing,
+        "als_residual": R.q_als_residual,
+        "als_list_check": R.q_als_list_check,
         "als_top50": R.q_als_top50,
         "als_user_auc": R.q_als_user_auc,
         "als_metrics": R.q_als_metrics,

@@ -71,7 +71,7 @@ def q_rule_pooled_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_rule_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A11 + E10: summed confusion counts of the lists, precision, recall and accuracy at ten."""
     s, test, lists = _parts(spark, sf_dir)
-    items_total = s.filter(F.col("part") == "train").agg(F.count_distinct("item_id")).first()[0]
+    items_total = s.filter(F.col("part") == "train").agg(F.count_distinct("item_id"))
     c = recommend.confusion_at(lists, test, LIST_N, items_total)
     return c.select("users", "tp", "fp", "fn", "tn", *[F.round(m, 6).alias(m) for m in ("precision", "recall", "accuracy")])
 

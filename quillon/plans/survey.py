@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from quillon import session as S
 from quillon.functions.hashing import FOLD, HOLDOUT, fold_of, fraction_below, portable_hash
-from quillon.operators import clean, features, metrics, models, tune
+from quillon.operators import clean, features, metrics, models, treerows, tune
 from quillon.operators.ledger import Ledger, data_mark
 from quillon.sources import csv as csvsrc
 from quillon.sources import sinks
@@ -315,6 +315,40 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(int(n), int(diff), len(full.stages))], "test_rows long, mismatches long, stages int")
 
 
+STUMP_FEATURES, ROUTED_DEPTH = ["l_quantity", "l_discount", "l_tax"], 8
+
+
+def q_stump_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: the nodes of a tree of depth 1, with all training rows counted again at the node that each reaches.
+
+    The three features have fewer values than bins, so every midpoint of neighbouring values is tried."""
+    train, _ = _train_test(spark, sf_dir)
+    train = train.persist()
+    try:
+        _, rows = tune.prepare_once([models.label_indexer(LABEL_YN), models.assembler(STUMP_FEATURES)], train)
+        tree = treerows.tree_rows(models.decision_tree(maxDepth=1, maxBins=100, impurity="gini").fit(rows), STUMP_FEATURES)
+        reached = treerows.routed(rows.select("features", "label"), tree, 1)
+        leaves = reached.groupBy(F.col("leaf").alias("node")).agg(F.count(F.lit(1)).alias("n_routed"), F.sum("label").cast("long").alias("n_label_1"))
+        leaves = S.reliable_checkpoint(leaves)
+    finally:
+        train.unpersist()
+    return tree.join(leaves, "node", "left").select("node", "feature", F.round("threshold", 4).alias("threshold"), "n", "n_routed", "n_label_1")
+
+
+def q_tree_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 + M19: a tree over all features as rows; the test rows routed through them against the model's predictions."""
+    prep, train_a, test_a = _prepared(spark, sf_dir, LABEL_YN)
+    try:
+        model = models.decision_tree(maxDepth=ROUTED_DEPTH, maxBins=50).fit(train_a)
+    finally:
+        train_a.unpersist()
+    tree = treerows.tree_rows(model, NUMERIC + CATEGORICAL)
+    both = treerows.routed(model.transform(test_a).select("features", "prediction"), tree, ROUTED_DEPTH)
+    tested = both.agg(F.count(F.lit(1)).alias("test_rows"), F.count_if(F.col("prediction") != F.col("routed_prediction")).alias("mismatches"))
+    trained = tree.where("below is null").agg(F.sum("n").alias("train_rows"))  # a training row ends in one leaf
+    return tested.crossJoin(F.broadcast(trained))
+
+
 def q_doc_quality_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same classification flow on the second real label source (FIXTURES B1):
     labels x documents, quality 0/1 from n_chars (numeric), lang and source (categorical).
