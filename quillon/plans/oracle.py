@@ -9,12 +9,16 @@ from __future__ import annotations
 
 from quillon.sources.standins import (
     ACTIVE_THRESHOLD,
+    PROFILE_ITEMS,
+    PROFILE_USER,
     SEARCH_TERMS,
     WEATHER_TEST_YEAR,
     WEATHER_TRAIN_YEARS,
     WEATHER_VAL_YEAR,
 )
 
+PROFILE_TOP = 25
+
 
 def _hash(salt: str, *keys: str) -> str:
     """The first 32 bits of md5('salt|key|...') as a number, stated here on its own."""
@@ -72,6 +76,7 @@ def _with(body: str) -> str:
 def recommender_sql() -> dict[str, str]:
     fold = f"CAST(floor(({_hash('fold', 'row_a', 'row_b')}) * 5 / 4294967296) AS INTEGER)"
     terms = ", ".join(f"('{t}')" for t in SEARCH_TERMS)
+    profile = ", ".join(f"({item}, {plays})" for item, plays in PROFILE_ITEMS)
     return {
         "interactions_scan": """
             SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, CAST(l.l_quantity AS BIGINT) AS plays
@@ -106,6 +111,11 @@ def recommender_sql() -> dict[str, str]:
             FROM train GROUP BY 1"""),
         "als_residual": _with("""
             SELECT user_id, count(*) FILTER (WHERE plays > 0) AS n_rated, CAST(0 AS DOUBLE) AS residual FROM train GROUP BY user_id"""),
+        "als_profile_check": _with(f"""
+            SELECT CAST({PROFILE_USER} AS BIGINT) AS user_id, count(*) FILTER (WHERE plays > 0) AS n_rated, CAST(0 AS DOUBLE) AS residual,
+                   least({PROFILE_TOP}, (SELECT count(*) FROM (SELECT item_id FROM pop UNION SELECT item FROM (VALUES {profile}) v(item, plays)))) AS n_listed,
+                   0 AS n_faults
+            FROM (VALUES {profile}) p(item, plays)"""),
         "als_list_check": _with("""
             SELECT user_id, least(50, (SELECT count(*) FROM pop)) AS n_listed,
                    0 AS n_repeated, 0 AS n_disordered, 0 AS n_wrong_scores
@@ -353,6 +363,9 @@ def weather_sql() -> dict[str, str]:
                 FROM imp CROSS JOIN (SELECT regr_slope({FW.LABEL}, {c}_imputed) AS b, regr_intercept({FW.LABEL}, {c}_imputed) AS a
                                      FROM imp WHERE part = 'train') WHERE part = 'test')"""
             for c in nullable) + " ORDER BY mse LIMIT 1",
+        "weather_rf_routing": f"{base} SELECT count(*) AS test_rows, 0 AS mismatches FROM wsplit WHERE part = 'test'",
+        "weather_lr_conditions": base + " UNION ALL ".join(
+            f" SELECT '{c}' AS feature, count(*) AS n, CAST(0 AS DOUBLE) AS gap FROM wsplit WHERE part = 'train'" for c in ["intercept", *[f for _, f in feats]]),
         "weather_ridge_coef": f"""{with_imp},
             fit AS (SELECT covar_pop({x}, {y}) / (var_pop({x}) * (1 + 0.001 / stddev_pop({y}))) AS b,
                            avg({x}) AS mx, avg({y}) AS my FROM imp WHERE part = 'train')
@@ -469,6 +482,11 @@ def survey_sql() -> dict[str, str]:
             UNION ALL SELECT 2, NULL, NULL, CAST(n - ln AS BIGINT), CAST(n - ln AS BIGINT), CAST(n1 - l1 AS BIGINT) FROM best WHERE NOT pruned""",
         "tree_routing": f"""{base}
             SELECT (SELECT count(*) FROM stest) AS test_rows, 0 AS mismatches, (SELECT count(*) FROM strain) AS train_rows""",
+        "forest_routing": f"""{base}
+            SELECT count(*) AS test_rows, 0 AS mismatches, 10 AS trees FROM stest WHERE band IS NOT NULL""",
+        "boosted_routing": f"""{base}
+            SELECT count(*) AS test_rows, 0 AS mismatches,
+                   3 * (SELECT count(DISTINCT band) FROM strain) AS trees FROM stest WHERE band IS NOT NULL""",
         "model_roundtrip": f"""{base}
             SELECT count(*) AS test_rows, 0 AS mismatches, 4 AS stages FROM stest""",
         "fold_balance": f"""{base}

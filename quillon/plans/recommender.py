@@ -401,6 +401,24 @@ def q_als_grid(spark: SparkSession, sf_dir: str, axes=ALS_REFERENCE_GRID) -> Dat
     )
 
 
+def q_als_profile_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + U2 + M21 + M22: the refit with the literal profile; the profile user's equations and list, checked as for all users."""
+    from quillon.operators import recommend
+
+    train, _ = _als_parts(spark, sf_dir)
+    prof = standins.profile(spark)
+    data = train.select("user_id", "item_id", "plays").unionByName(prof).persist()
+    try:
+        model = recommend.fit(data, **ALS_PARAMS)
+        residual = recommend.normal_residuals(model, data, ALS_PARAMS["reg"], ALS_PARAMS["alpha"]).where(F.col("user_id") == standins.PROFILE_USER)
+        faults = recommend.list_faults(model, recommend.top_n(model, prof.select("user_id"), PROFILE_TOP))
+        both = S.reliable_checkpoint(residual.join(faults, "user_id"))
+    finally:
+        data.unpersist()
+    wrong = F.col("n_repeated") + F.col("n_disordered") + F.col("n_wrong_scores")
+    return both.select("user_id", "n_rated", F.round("residual", 2).alias("residual"), "n_listed", wrong.alias("n_faults"))
+
+
 def q_als_profile_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8 + U2 + M22 + M21 + F10 + K6: the literal profile appended to training, refit,
     top-25 items of the profile user with names (unknown ids get the default name)."""

@@ -80,6 +80,11 @@ def queries() -> dict[str, Query]:
         "doc_quality_tree": V.q_doc_quality_tree,
         "stump_rows": V.q_stump_rows,
         "tree_routing": V.q_tree_routing,
+        "forest_routing": V.q_forest_routing,
+        "boosted_routing": V.q_boosted_routing,
+        "weather_rf_routing": W.q_weather_rf_routing,
+        "weather_lr_conditions": W.q_weather_lr_conditions,
+        "als_profile_check": R.q_als_profile_check,
         "als_residual": R.q_als_residual,
         "als_list_check": R.q_als_list_check,
         "als_top50": R.q_als_top50,

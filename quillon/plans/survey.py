@@ -349,6 +349,45 @@ def q_tree_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tested.crossJoin(F.broadcast(trained))
 
 
+FOREST_TREES, FOREST_DEPTH, BOOST_ROUNDS, BOOST_DEPTH = 10, 6, 3, 4
+
+
+def _numbered(rows: DataFrame, raw: str) -> DataFrame:
+    """Rows to route, each with a number of its own; written, so that the numbers stay."""
+    return S.reliable_checkpoint(rows.select(F.monotonically_increasing_id().alias("at"), "features", F.col(raw).alias("raw")))
+
+
+def _gap_row(gaps: DataFrame, trees: DataFrame) -> DataFrame:
+    tested = gaps.agg(F.count(F.lit(1)).alias("test_rows"), F.count_if(F.col("gap") > 1e-6).alias("mismatches"))
+    return tested.crossJoin(F.broadcast(trees.agg(F.count_distinct("tree").alias("trees"))))
+
+
+def q_forest_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 + M19: a forest on the second label as rows; the votes of the leaves that the test rows reach against the model's."""
+    prep, train_a, test_a = _prepared(spark, sf_dir, LABEL_BAND)
+    try:
+        model = models.random_forest(numTrees=FOREST_TREES, maxDepth=FOREST_DEPTH).fit(train_a)
+    finally:
+        train_a.unpersist()
+    trees = treerows.tree_rows(model, [*NUMERIC, *CATEGORICAL, LABEL_YN])
+    rows = _numbered(model.transform(test_a), "rawPrediction")
+    reached = treerows.routed(rows, trees, FOREST_DEPTH, FOREST_TREES)
+    return _gap_row(treerows.vote_gaps(reached, "at", "raw", model.numClasses), trees)
+
+
+def q_boosted_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 + M8: boosted trees one-vs-rest as rows; the sums over the leaves that the test rows reach against each class's margin."""
+    prep, train_a, test_a = _prepared(spark, sf_dir, LABEL_BAND)
+    try:
+        model = models.gbt_one_vs_rest(max_depth=BOOST_DEPTH, max_iter=BOOST_ROUNDS).fit(train_a)
+    finally:
+        train_a.unpersist()
+    trees = treerows.class_rows(model.models, [*NUMERIC, *CATEGORICAL, LABEL_YN])
+    rows = _numbered(model.transform(test_a), "rawPrediction")
+    reached = treerows.routed(rows, trees, BOOST_DEPTH, sum(m.getNumTrees for m in model.models))
+    return _gap_row(treerows.vote_gaps(reached, "at", "raw", len(model.models), by_class=True), trees)
+
+
 def q_doc_quality_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same classification flow on the second real label source (FIXTURES B1):
     labels x documents, quality 0/1 from n_chars (numeric), lang and source (categorical).

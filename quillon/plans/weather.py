@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon import session as S
-from quillon.operators import correlation, impute, models, rank, split
+from quillon.operators import correlation, impute, models, rank, split, treerows
 from quillon.sources import fixedwidth as FW
 from quillon.sources import standins, text
 
 IMPUTED = [f"{c}_imputed" for c in FW.NULLABLE_FEATURES]
 MODEL_INPUTS = FW.BASE_FEATURES + IMPUTED
 ONE_FEATURE = "dew_point_temperature"
+RF_TREES = 10
 
 
 def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +194,51 @@ def q_weather_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(_regression_report(spark, sf_dir, "RandomForestRegressor"), "model string, part string, mse double")
 
 
+def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = imputed_parts(spark, sf_dir).filter(F.col("part").isNotNull())
+    return models.assembler(MODEL_INPUTS).transform(df)
+
+
+def q_weather_rf_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M11 + M19: the forest regressor as rows; the mean over the leaves that the test rows reach against its predictions."""
+    rows = _assembled(spark, sf_dir).select("features", FW.LABEL, "part").persist()
+    try:
+        model = models.random_forest_regressor(FW.LABEL, num_trees=RF_TREES).fit(rows.filter(F.col("part") == "train"))
+        test = model.transform(rows.filter(F.col("part") == "test"))
+        test = S.reliable_checkpoint(test.select(F.monotonically_increasing_id().alias("at"), "features", "prediction"))
+    finally:
+        rows.unpersist()
+    reached = treerows.routed(test, treerows.tree_rows(model, MODEL_INPUTS), model.getMaxDepth(), RF_TREES)
+    per_row = reached.groupBy("at").agg(F.avg("routed_prediction").alias("mean"), F.max("prediction").alias("p"), F.count(F.lit(1)).alias("n"))
+    wrong = (F.abs(F.col("mean") - F.col("p")) > 1e-9 * (1 + F.abs("p"))) | (F.col("n") != RF_TREES)
+    return per_row.agg(F.count(F.lit(1)).alias("test_rows"), F.count_if(wrong).alias("mismatches"))
+
+
+def q_weather_lr_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 on all twelve features: how far the fit misses the conditions of its least penalised squares.
+
+    For each feature, the covariance of the residuals with it less what the penalty (standardised features and label) takes, and for
+    the intercept the residuals' mean; in units of the standard deviations (0 for a feature without spread).
+    """
+    reg = 0.001
+    rows = _assembled(spark, sf_dir).filter(F.col("part") == "train").select("features", FW.LABEL, *MODEL_INPUTS).persist()
+    try:
+        model = models.linear_regression(FW.LABEL, max_iter=100, reg_param=reg).fit(rows)
+        y, off = F.col(FW.LABEL), F.col(FW.LABEL) - F.col("prediction")
+        scored = model.transform(rows)
+        spread = F.stddev_pop(y)
+        out = [F.struct(F.lit("intercept").alias("feature"), F.try_divide(F.avg(off), spread).alias("gap"))]
+        for c, b in zip(MODEL_INPUTS, model.coefficients):
+            x = F.col(c).cast("double")
+            gap = F.covar_pop(off, x) - F.lit(reg) / spread * F.var_pop(x) * F.lit(float(b))
+            out.append(F.struct(F.lit(c).alias("feature"), F.try_divide(gap, F.stddev_pop(x) * spread).alias("gap")))
+        found = scored.agg(F.count(F.lit(1)).alias("n"), F.array(*out).alias("gaps"))
+        gaps = S.reliable_checkpoint(found.select("n", F.explode("gaps").alias("g")))
+    finally:
+        rows.unpersist()
+    return gaps.select("g.feature", "n", F.abs(F.round(F.coalesce("g.gap", F.lit(0.0)), 5)).alias("gap"))
+
+
 def q_best_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: model with the lower test MSE; linear regression wins ties."""
     rows = _regression_report(spark, sf_dir, "LinearRegression") + _regression_report(spark, sf_dir, "RandomForestRegressor")
