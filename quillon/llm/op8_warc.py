@@ -12,8 +12,12 @@ a task that runs again leaves no second copy.
 Reading: files come through Spark's binary reader. The reader checks each member (gzip CRC),
 header, length, block digest and payload digest. Where a check fails, it looks for the next
 gzip member or version line from which a record can be read, goes on there, and logs the
-bytes between as a quarantined gap with the reason. From a broken member the records that
-precede the damage and pass their checks are kept. Members and plain records may be mixed.
+bytes between as a quarantined gap with the reason. A record whose digest fails, but whose length leads to
+a record, a member or the end, is passed by as a whole, so that version lines in its payload are not taken for records;
+where the length fails too, a whole record inside the damaged one is taken. Folded header lines and bytes
+that are no UTF-8 in a header are read. From a broken member the records that
+precede the damage and pass their checks are kept. Members and plain records may be mixed. A task holds a
+whole archive: one that Spark's binary reader gives (under 2 GB), the writer's have about ``ARCHIVE_BYTES``.
 
 Defined results: null html is an empty payload. Rows without page_id have records without
 one; they can be revisits, and a response only if no equal payload has a page_id. Repeated
@@ -40,6 +44,8 @@ from quillon.session import staging_path
 MIN_REVISIT, ARCHIVE_BYTES = 1000, 8_000_000
 _VERSION, _MEMBER, _PAD = b"WARC/1.", b"\x1f\x8b\x08", b"\r\n\r\n"
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+_CONTROL, _TOKEN = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f]"), re.compile(r"[!#$%&'*+.^_`|~0-9a-z-]+")
+_VERSION_LINE = re.compile(rb"WARC/1\.\d\r\n")
 _STEP = 1 << 16
 
 
@@ -72,7 +78,34 @@ def record(page_id, url: str | None, payload: bytes, refers_to=None, revisit: bo
 
 
 class Damaged(Exception):
-    pass
+    """A failed check; ``end`` is the end of the record where its header is sound and its stated length leads to a record, a member or the end."""
+
+    def __init__(self, reason: str, end: int | None = None):
+        super().__init__(reason)
+        self.end = end
+
+
+def _fields(raw: bytes) -> dict[str, str]:
+    """Header fields by lower-case name; a folded line goes on with the field before it, bytes that are no UTF-8 are replaced.
+
+    Control bytes and names that are no tokens are errors, and so is a second version line with a type after it: there a
+    member or another record begins inside a header that was cut.
+    """
+    again = _VERSION_LINE.search(raw, 1)
+    if _CONTROL.search(raw) or (again and b"\nwarc-type:" in raw[again.start() :].lower()):
+        raise ValueError("cut header")
+    out: dict[str, str] = {}
+    name = ""
+    for line in raw.decode(errors="replace").split("\r\n")[1:]:
+        if line.startswith((" ", "\t")) and name:
+            out[name] = f"{out[name]} {line.strip()}".strip()
+        else:
+            name, value = line.split(":", 1)
+            name = name.strip().lower()
+            if not _TOKEN.fullmatch(name):
+                raise ValueError("field name")
+            out[name] = value.strip()
+    return out
 
 
 def _parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
@@ -83,22 +116,23 @@ def _parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
     if end < 0:
         raise Damaged("header without end")
     try:
-        lines = data[at:end].decode().split("\r\n")
-        head = {k.strip().lower(): v.strip() for k, v in (x.split(":", 1) for x in lines[1:])}
+        head = _fields(data[at:end])
         size = int(head["content-length"])
     except (ValueError, KeyError):
         raise Damaged("header") from None
     block = data[end + 4 : end + 4 + size]
     if size < 0 or len(block) < size or not data.startswith(_PAD, end + 4 + size):
         raise Damaged("length")
+    stop = end + 8 + size
+    known = stop if stop >= len(data) or data.startswith((_VERSION, _MEMBER), stop) else None
     want = head.get("warc-block-digest", "")
     if want.startswith("sha1:") and sha1(block).hexdigest() != want[5:]:
-        raise Damaged("block digest")
+        raise Damaged("block digest", known)
     http, sep, payload = block.partition(b"\r\n\r\n")
     want = head.get("warc-payload-digest", "")
     if head.get("warc-type") == "response" and want.startswith("sha1:") and sha1(payload).hexdigest() != want[5:]:
-        raise Damaged("payload digest")
-    return head, block, end + 8 + size
+        raise Damaged("payload digest", known)
+    return head, block, stop
 
 
 def _inflate(data: memoryview, at: int) -> tuple[bytes, int, str]:
@@ -131,7 +165,7 @@ def salvage(data: bytes):
         if data[at] in b"\r\n":
             at += 1
             continue
-        found, end, fault = [], at, ""
+        found, end, fault, stop = [], at, "", None
         if data.startswith(_MEMBER, at):
             content, end, fault = _inflate(view, at)
             pos = 0
@@ -143,8 +177,8 @@ def salvage(data: bytes):
                     if not fault:  # the member is sound, a record in it isn't: go on in the member
                         inner = _NEXT.search(content, pos + 1)
                         yield "gap", at, end, f"in a member: {e}"
-                        if inner:
-                            pos = inner.start()
+                        if e.end is not None or inner:
+                            pos = inner.start() if e.end is None else e.end
                             continue
                     break
         else:
@@ -152,7 +186,7 @@ def salvage(data: bytes):
                 head, block, end = _parse(data, at)
                 found.append((head, block))
             except Damaged as e:
-                fault = str(e)
+                fault, stop = str(e), e.end
         if gap is not None and (found or not fault):
             yield "gap", gap, at, why
             gap = None
@@ -161,8 +195,8 @@ def salvage(data: bytes):
         if fault:
             if gap is None:
                 gap, why = at, fault
-            following = _NEXT.search(data, at + 1)
-            at = following.start() if following else n
+            following = _NEXT.search(data, at + 1) if stop is None else None
+            at = stop if stop is not None else following.start() if following else n
         else:
             at = end
     if gap is not None:
