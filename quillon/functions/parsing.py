@@ -37,10 +37,14 @@ def slice_text(value, start: int, end: int) -> Column:
     return F.substring(_c(value), start + 1, end - start)
 
 
+def trimmed_int(t) -> Column:
+    """``int(t)`` of a trimmed text or null when it would raise (or not fit in 32 bits)."""
+    return F.when(t.rlike(INT_PATTERN), t.try_cast("int"))
+
+
 def parse_int(text) -> Column:
     """``int(text.strip())`` or null when it would raise (or not fit in 32 bits)."""
-    t = strip_ws(text)
-    return F.when(t.rlike(INT_PATTERN), t.try_cast("int"))
+    return trimmed_int(strip_ws(text))
 
 
 def parse_double(text) -> Column:
@@ -48,9 +52,13 @@ def parse_double(text) -> Column:
     return _number(strip_ws(text))
 
 
-def parse_scaled(text, scale: float, missing: Iterable[str]) -> Column:
-    """Trimmed text; a missing code gives null, otherwise the number divided by ``scale``."""
-    t = strip_ws(text)
+def trimmed_scaled(t, scale: float, missing: Iterable[str]) -> Column:
+    """Of a trimmed text, a missing code gives null, otherwise the number divided by ``scale``."""
     missing = list(missing)
     value = _number(t) / F.lit(float(scale))
     return F.when(t.isin(missing), F.lit(None).cast("double")).otherwise(value) if missing else value
+
+
+def parse_scaled(text, scale: float, missing: Iterable[str]) -> Column:
+    """Trimmed text; a missing code gives null, otherwise the number divided by ``scale``."""
+    return trimmed_scaled(strip_ws(text), scale, missing)

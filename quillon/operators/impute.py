@@ -43,6 +43,39 @@ def order_key(x: Column) -> Column:
     return F.when(x < 0, -key).otherwise(key)
 
 
+def _near(size: Column) -> Column:
+    """The exponent of a positive normal double, off by one at most."""
+    return F.greatest(F.least(F.floor(F.log2(size)), F.lit(BIAS)), F.lit(1 - BIAS)).cast("int")
+
+
+def _scaled(size: Column, near: Column) -> Column:
+    """The double over two to the power of ``near``: exact, from 0.5 up to 4."""
+    return size / F.pow(F.lit(2.0), near)
+
+
+def _key(x: Column, size: Column, near: Column, scaled: Column) -> Column:
+    one = F.lit(2.0**MANTISSA)
+    above = F.when(scaled < 1, (scaled - 1) * 2).when(scaled < 2, scaled - 1).otherwise(scaled / 2)
+    normal = (near + BIAS).cast("bigint") * F.lit(1 << MANTISSA) + (above * one).cast("bigint")
+    infinite = F.lit((2 * BIAS + 1) << MANTISSA)
+    key = F.when(size < 2.0 ** (1 - BIAS), (size / F.lit(LEAST)).cast("bigint")).when(size == float("inf"), infinite).otherwise(normal)
+    return key * F.when(x < 0, -1).otherwise(1)
+
+
+def order_key(x: Column) -> Column:
+    """A bigint that orders like the double ``x``: sign, exponent and mantissa, taken by exact arithmetic."""
+    size = F.abs(x)
+    return _key(x, size, _near(size), _scaled(size, _near(size)))
+
+
+def keyed(df: DataFrame, x: str) -> DataFrame:
+    """``df`` with ``key``, the ``order_key`` of the column ``x``; exponents and quotients are columns first, computed once a row."""
+    size = F.abs(F.col(x))
+    out = df.withColumn("key_near", _near(size))
+    out = out.withColumn("key_scaled", _scaled(size, F.col("key_near")))
+    return out.withColumn("key", _key(F.col(x), size, F.col("key_near"), F.col("key_scaled"))).drop("key_near", "key_scaled")
+
+
 def value_of(key: int) -> float:
     """The double whose ``order_key`` is ``key``."""
     exponent, fraction = divmod(abs(key), 1 << MANTISSA)
@@ -58,37 +91,40 @@ def value_of(key: int) -> float:
 def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5) -> dict[str, float]:
     """The value at rank ceil(q * n) of each column; an error if a column has no values.
 
-    Reads ``df`` up to four times (cache it).
+    Reads ``df`` up to four times (cache it). After the first pass, only values between the picked
+    bin's least and greatest get a key.
     """
     found: dict[str, float] = {}
-    bits: dict[str, tuple[int, int]] = {}  # leading bits of the wanted value, and its rank among the values that have them
+    bins_of: dict[str, tuple[float, float, int]] = {}  # ends of the bin that holds the wanted value, and its rank in there
     for shift in range(64 - DIGIT, -1, -DIGIT):
-        emitted = []
-        for c in [c for c in cols if c not in found]:
-            key = order_key(_clean(c))
-            inside = key.isNotNull()
-            if c in bits:
-                inside = F.shiftright(key, shift + DIGIT) == bits[c][0]
-            emitted.append(F.when(inside, F.struct(F.lit(c).alias("name"), key.alias("key"))))
-        one = df.select(F.explode(F.array_compact(F.array(*emitted))).alias("x")).select("x.name", "x.key")
-        bins = one.groupBy("name", F.shiftright("key", shift).alias("bits")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        names = [c for c in cols if c not in found]
+        values = []
+        for c in names:
+            x = _clean(c)
+            if c in bins_of:
+                lo, hi, _ = bins_of[c]
+                x = F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), x)
+            values.append(x)
+        one = df.select(F.posexplode(F.array(*values)).alias("at", "x")).where("x is not null")
+        bins = keyed(one, "x").groupBy("at", F.shiftright("key", shift).alias("bits")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
         # 65,536 bins a column at most
-        up_to = Window.partitionBy("name").orderBy("bits").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        rank = F.greatest(F.ceil(F.lit(q) * F.sum("n").over(Window.partitionBy("name"))), F.lit(1))
-        for c, (_, k) in bits.items():
-            rank = F.when(F.col("name") == c, F.lit(k)).otherwise(rank)
+        up_to = Window.partitionBy("at").orderBy("bits").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rank = F.greatest(F.ceil(F.lit(q) * F.sum("n").over(Window.partitionBy("at"))), F.lit(1))
+        for k, c in enumerate(names):
+            if c in bins_of:
+                rank = F.when(F.col("at") == k, F.lit(bins_of[c][2])).otherwise(rank)
         bins = bins.select("*", F.sum("n").over(up_to).alias("cum"), rank.cast("bigint").alias("rank")).where("cum >= rank")
-        picked = bins.groupBy("name").agg(F.min_by(F.struct("bits", "lo", "hi", "rank", (F.col("cum") - F.col("n")).alias("before")), "bits").alias("b"))
+        picked = bins.groupBy("at").agg(F.min_by(F.struct("lo", "hi", "rank", (F.col("cum") - F.col("n")).alias("before")), "bits").alias("b"))
         for r in picked.collect():  # one row a column
-            if r.b.lo == r.b.hi:
-                found[r.name] = value_of(r.b.lo)
+            c = names[r["at"]]
+            if r.b.lo == r.b.hi or not shift:  # a bin of the last bits has one key
+                found[c] = r.b.lo + 0.0  # -0.0 is 0.0
             else:
-                bits[r.name] = (r.b.bits, r.b.rank - r.b.before)
-        empty = [c for c in cols if c not in found and c not in bits]
+                bins_of[c] = (r.b.lo, r.b.hi, r.b.rank - r.b.before)
+        empty = [c for c in cols if c not in found and c not in bins_of]
         if empty:
             raise ValueError(f"surrogate cannot be computed: no values in {empty}")
-        bits = {c: b for c, b in bits.items() if c not in found}
-        if not bits:
+        if len(found) == len(set(cols)):
             break
     return {c: found[c] for c in cols}
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.functions.parsing import parse_int, parse_scaled, slice_text
+from quillon.functions.parsing import slice_text, strip_ws, trimmed_int, trimmed_scaled
 
 
 @dataclass(frozen=True)
@@ -54,17 +54,22 @@ FEATURES = BASE_FEATURES + NULLABLE_FEATURES
 LABEL = LABEL_FIELD.name
 
 
-def parse_columns(value_col: str = "value") -> list:
-    v = F.col(value_col)
-    cols = [parse_int(slice_text(v, f.start, f.end)).alias(f.name) for f in DATE_FIELDS]
-    cols += [parse_scaled(slice_text(v, f.start, f.end), f.scale, f.missing).alias(f.name) for f in OPTIONAL_FIELDS]
-    cols.append(parse_scaled(slice_text(v, LABEL_FIELD.start, LABEL_FIELD.end), LABEL_FIELD.scale, LABEL_FIELD.missing).alias(LABEL))
-    return cols
+def parse_columns() -> list:
+    """The typed fields, of the trimmed texts that ``with_validity`` has in columns of their own."""
+    t = lambda f: F.col(f"_text_{f.name}")
+    cols = [trimmed_int(t(f)).alias(f.name) for f in DATE_FIELDS]
+    return cols + [trimmed_scaled(t(f), f.scale, f.missing).alias(f.name) for f in (*OPTIONAL_FIELDS, LABEL_FIELD)]
 
 
 def with_validity(lines: DataFrame, value_col: str = "value", carry: Sequence[str] = ()) -> DataFrame:
-    """All parsed columns plus ``valid`` (kept by the reference's parser) for each line, and the columns ``carry``."""
-    parsed = lines.select(F.length(value_col).alias("_len"), *carry, *parse_columns(value_col))
+    """All parsed columns plus ``valid`` (kept by the reference's parser) for each line, and the columns ``carry``.
+
+    A field is cut and trimmed in a projection of its own: the guards and the conversion then share the text.
+    """
+    v = F.col(value_col)
+    fields = (*DATE_FIELDS, *OPTIONAL_FIELDS, LABEL_FIELD)
+    cut = lines.select(F.length(v).alias("_len"), *carry, *[strip_ws(slice_text(v, f.start, f.end)).alias(f"_text_{f.name}") for f in fields])
+    parsed = cut.select("_len", *carry, *parse_columns())
     ok = F.col("_len") >= MIN_LENGTH
     for name in BASE_FEATURES + [LABEL]:
         ok = ok & F.col(name).isNotNull()
