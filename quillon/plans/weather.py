@@ -53,7 +53,7 @@ def parsed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The split of the parsed rows, written once in the shared folder: parsing costs most of a pass over
     the lines, and the medians and what follows read the rows several times."""
     path = S.staging_path(spark, "weather-parsed")
-    FW.with_validity(staged_lines(spark, sf_dir)).write.parquet(path)
+    FW.with_validity_by_batch(staged_lines(spark, sf_dir)).write.parquet(path)
     return _in_parts(spark.read.parquet(path).filter("valid").drop("valid"))
 
 
@@ -269,7 +269,7 @@ def q_weather_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each statistic family is one aggregate job; cached inputs are released at the end.
     """
     lines = staged_lines(spark, sf_dir)
-    checked = FW.with_validity(lines).persist()
+    checked = FW.with_validity_by_batch(lines).persist()
     rows_out: list[tuple[str, float | None, str | None]] = []
     assembled = None
     try:
