@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillon.llm.common import dealt
+
 
 def to_cells(rows: DataFrame, limit: int, deal: str) -> DataFrame:
     """``rows`` has a long column ``key``; ``deal`` names the column whose hash gives a row's block.
@@ -28,7 +30,7 @@ def to_cells(rows: DataFrame, limit: int, deal: str) -> DataFrame:
     """
     sizes = rows.groupBy("key").agg(F.count("*").alias("cell_n")).where("cell_n > 1")
     s = F.ceil(F.col("cell_n") / F.lit(float(limit))).cast("int")
-    cut = rows.join(sizes, "key").withColumn("cell_s", s)
+    cut = rows.join(dealt(sizes), "key").withColumn("cell_s", s)
     cut = cut.withColumn("block", F.pmod(F.xxhash64(F.lit(7), F.col(deal)), F.col("cell_s")).cast("int"))
     cut = cut.withColumn("cell_o", F.explode(F.sequence(F.lit(0), F.col("cell_s") - 1)))
     cut = cut.withColumn("cell_a", F.least("block", "cell_o")).withColumn("cell_b", F.greatest("block", "cell_o"))

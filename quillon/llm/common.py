@@ -33,6 +33,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` for a join that deals both sides by the key and never sends one through the driver.
+
+    Spark takes the rows of a step of Arrow batches for as many as its input's, and a table for as
+    large as its compressed files, so it would broadcast sides that hold many times what it expects.
+    """
+    return df.hint("merge")
+
+
 def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     return df.mapInArrow(f, schema)
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import staged
+from quillon.llm.common import dealt, staged
 
 
 def spanning_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -87,11 +87,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         least = staged(least, f"{name}-least")  # as a table, so that the join deals both sides and may split a hot node
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(dealt(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         e1 = staged(large, f"{name}-large")
         # small star: every smaller neighbour, and the node itself, is tied to the smallest
         least = staged(e1.groupBy("u").agg(F.min("v").alias("m")), f"{name}-least")
-        pairs = e1.join(least, "u")
+        pairs = e1.join(dealt(least), "u")
         small = pairs.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))).distinct()
         e = staged(small, f"{name}-small")

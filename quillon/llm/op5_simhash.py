@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from quillon.llm.cells import cell_pairs, to_cells, whole_cells
-from quillon.llm.common import staged, table, text_bytes
+from quillon.llm.common import dealt, staged, table, text_bytes
 from quillon.llm.graph import components, spanning_labels
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -194,17 +194,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     links = to_cells(rows, CELL_ROWS, "rep").mapInArrow(_link_batches(max_bits), "u long, v long")
     # a doc_id that stands in rows of several fingerprints ties them together
     several = fps.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-    ties = fps.join(several.where("low <> high").select("doc_id"), "doc_id").join(reps, "fp").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    ties = fps.join(dealt(several.where("low <> high").select("doc_id")), "doc_id").join(dealt(reps), "fp").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     comps = components(links.unionByName(ties), "simhash")
-    node = reps.join(comps, reps["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    out = fps.join(node, "fp", "left")
+    node = reps.join(dealt(comps), reps["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    out = fps.join(dealt(node), "fp", "left")
     return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` without the documents whose component has a smaller doc_id; rows without doc_id stay."""
     gone = near_duplicates(docs, shingle, max_bits).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(dealt(gone), "doc_id", "left_anti")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
